@@ -19,3 +19,13 @@ def driver_rows(df: DataFrame, most: int, what: str) -> list[Row]:
 def fits_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
     """True when counting the rows proves that ``df`` stays below ``limit`` bytes."""
     return df.agg(F.count("*")).first()[0] * row_bytes <= limit
+
+
+def spread_out(scan: DataFrame) -> DataFrame:
+    """Give a scan of fewer splits than cores one split per core, such as a file of a single row group.
+
+    Only for bare scans: the number of splits is then known from planning, without a job. A large table has
+    more splits than there are cores and is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

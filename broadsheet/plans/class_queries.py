@@ -293,8 +293,8 @@ SELECT doc_id, axis, round(sum(x * (((3 * dim + 5 * axis) % 7 - 3) / CAST(10 AS
 FROM comp CROSS JOIN axes GROUP BY doc_id, axis""",
     "assign_nearest": f"""
 WITH {_CENTERS},
-best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY distance, class) AS at FROM dist)
-SELECT doc_id, class, round(distance, 6) AS distance FROM best WHERE at = 1""",
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY distance, class) AS place FROM dist)
+SELECT doc_id, class, round(distance, 6) AS distance FROM best WHERE place = 1""",
     "nearest_docs": f"""
 WITH {_CENTERS} SELECT class, rank, doc_id, round(distance, 6) AS distance FROM near WHERE rank <= 10""",
     "nearest_docs_terms": f"""

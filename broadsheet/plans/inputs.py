@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.functions.sizing import spread_out
 from broadsheet.operators.lemmas import document_words
 from broadsheet.operators.vocabulary import Vocabulary, build_vocabulary
 
@@ -25,13 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+def documents(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    return spread_out(table(spark, sf_dir, "documents").select("doc_id", *extra, "text"))
 
 
 def words(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Documents with their vocabulary words."""
-    return document_words(table(spark, sf_dir, "documents").select("doc_id", *extra, "text"), STOP_WORDS)
+    return document_words(documents(spark, sf_dir, *extra), STOP_WORDS)
 
 
 def words_and_vocabulary(
