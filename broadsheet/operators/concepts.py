@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.functions.rows import unnest
 from broadsheet.operators.factors import Decomposition, project_rows
 from broadsheet.operators.ranking import top_n
 
@@ -26,7 +27,7 @@ def left_vectors(rows: DataFrame, found: Decomposition, concepts: int) -> DataFr
 
 def concept_documents(rows: DataFrame, found: Decomposition, concepts: int = 10, n: int = 10) -> DataFrame:
     """``(concept, rank, doc_id, weight)`` by signed weight in the left vectors."""
-    entries = left_vectors(rows, found, concepts).select("doc_id", F.posexplode("projection").alias("concept", "weight"))
+    entries = unnest(left_vectors(rows, found, concepts), ["doc_id"], "projection", "weight", at="concept")
     order = [F.desc("weight"), F.asc("doc_id")]
     return top_n(entries, ["concept"], order, n, spread_by="doc_id").select("concept", "rank", "doc_id", "weight")
 

@@ -17,6 +17,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.functions.rows import unnest
 from broadsheet.functions.vectors import project
 
 MAX_COLUMNS = 4096
@@ -80,7 +81,7 @@ def project_rows(df: DataFrame, loadings: np.ndarray, vector: str = "row") -> Da
     table = [(t, *(float(x) for x in row)) for t, row in enumerate(np.asarray(loadings))]
     schema = "term_id INT, " + ", ".join(f"{n} DOUBLE" for n in names)
     small = df.sparkSession.createDataFrame(table, schema)
-    entries = df.select("doc_id", F.posexplode(vector_to_array(vector)).alias("term_id", "w"))
+    entries = unnest(df, ["doc_id"], vector_to_array(vector), "w", at="term_id")
     # Term 0 always stays, so a document of zeros keeps a row.
     entries = entries.where("w != 0 OR term_id = 0").join(F.broadcast(small), "term_id")
     sums = entries.groupBy("doc_id").agg(*[F.sum(F.col("w") * F.col(n)).alias(n) for n in names])

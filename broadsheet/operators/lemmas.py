@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.functions.rows import unnest
 from broadsheet.functions.sizing import driver_rows
 from broadsheet.functions.tokens import keep_words, tokens
 
@@ -61,7 +62,7 @@ def lemmatise(documents: DataFrame, dictionary: DataFrame, most: int = MAX_DICTI
 def lemmatise_by_join(documents: DataFrame, dictionary: DataFrame) -> DataFrame:
     """The same for a dictionary of any size: one row per word, left join, regrouped in order."""
     others = [c for c in documents.columns if c not in ("doc_id", "words")]
-    exploded = documents.select("doc_id", F.posexplode("words").alias("at", "form"))
+    exploded = unnest(documents, ["doc_id"], "words", "form", at="at")
     looked_up = exploded.join(dictionary.select("form", "lemma"), "form", "left")
     lemma = F.coalesce("lemma", "form").alias("lemma")
     grouped = looked_up.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", lemma))).alias("found"))

@@ -12,6 +12,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.functions.rows import unnest
 from broadsheet.operators.ranking import top_n
 from broadsheet.operators.vocabulary import Vocabulary
 
@@ -21,13 +22,13 @@ DENSE_TERMS = 4096
 
 def term_counts(documents: DataFrame) -> DataFrame:
     """``(doc_id, term, f)`` over all words, no vocabulary."""
-    words = documents.select("doc_id", F.explode("words").alias("term"))
+    words = unnest(documents, ["doc_id"], "words", "term")
     return words.groupBy("doc_id", "term").agg(F.count("*").alias("f"))
 
 
 def document_length() -> Column:
     """Number of kept words, those outside the vocabulary included."""
-    return F.size("words")
+    return F.coalesce(F.size("words"), F.lit(0))
 
 
 def count_rows(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -47,10 +48,9 @@ def _weight(counts: Column, length: Column, idf: Column, tf: str) -> Column:
 def counts_long(counted: DataFrame, keep_empty: bool = False) -> DataFrame:
     """``(doc_id, n, term_id, f)`` from count rows. ``keep_empty`` leaves one row with ``f = 0`` in documents
     that have no term 0, so that later groupings do not lose documents without terms."""
-    entries = F.posexplode(vector_to_array("counts")).alias("term_id", "f")
-    kept = "f > 0 OR term_id = 0" if keep_empty else "f > 0"
     others = [c for c in counted.columns if c != "counts"]
-    return counted.select(*others, entries).where(kept)
+    entries = unnest(counted, others, vector_to_array("counts"), "f", at="term_id")
+    return entries.where("f > 0 OR term_id = 0" if keep_empty else "f > 0")
 
 
 def tfidf_long(documents: DataFrame, vocabulary: Vocabulary, tf: str = "relative") -> DataFrame:
@@ -61,7 +61,7 @@ def tfidf_long(documents: DataFrame, vocabulary: Vocabulary, tf: str = "relative
         found = counts_long(count_rows(documents, vocabulary)).join(F.broadcast(table), "term_id")
     else:
         others = [c for c in documents.columns if c != "words"]
-        words = documents.select(*others, document_length().alias("n"), F.explode("words").alias("term"))
+        words = unnest(documents, [*others, document_length().alias("n")], "words", "term")
         keys = [*others, "n", "term_id", "term", "idf"]
         found = words.join(table, "term").groupBy(*keys).agg(F.count("*").cast("double").alias("f"))
     return found.withColumn("w", _weight(F.col("f"), F.col("n"), F.col("idf"), tf)).drop("idf")

@@ -50,18 +50,18 @@ def class_timeline(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
     # One row per task and class, whatever the number of documents.
     counts = ordered.groupBy("_part", "class").agg(F.count("*").alias("rows"))
     earlier = Window.partitionBy("class").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    in_class = counts.select("_part", "class", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_class_before"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    in_all = (
-        counts.groupBy("_part")
-        .agg(F.sum("rows").alias("rows"))
-        .select("_part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_before"))
+    before = Window.orderBy("_part").rangeBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col("_part").alias("_in_part"),
+        F.col("class").alias("_in_class"),
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_class_before"),
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_before"),
     )
-    offsets = in_class.join(in_all, "_part")
 
     number = F.row_number().over(Window.partitionBy("_part", "class").orderBy("_at"))
     row_in_part = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
-    numbered = ordered.withColumn("_number", number).join(offsets, ["_part", "class"])
+    same_place = (F.col("_part") == F.col("_in_part")) & F.col("class").eqNullSafe(F.col("_in_class"))
+    numbered = ordered.withColumn("_number", number).join(offsets, same_place)
     csum = F.col("_class_before") + F.col("_number")
     total = F.col("_before") + row_in_part
     return numbered.select(

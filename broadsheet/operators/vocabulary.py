@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from broadsheet.functions.rows import unnest
 from broadsheet.functions.sizing import driver_rows
 
 MAX_TERMS = 100_000
@@ -16,9 +17,8 @@ MAX_TERMS = 100_000
 def document_frequencies(documents: DataFrame) -> DataFrame:
     """``(term, df)``: in how many documents each word occurs. Repeats within a document go before the
     shuffle, and counts are combined in each task, so a word of every document is no hot key."""
-    return (
-        documents.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    )
+    terms = unnest(documents, [], F.array_distinct("words"), "term")
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def most_frequent(frequencies: DataFrame, num_terms: int) -> DataFrame:

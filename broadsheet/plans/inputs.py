@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.functions.rows import unnest
 from broadsheet.functions.sizing import spread_out
 from broadsheet.operators.lemmas import document_words
 from broadsheet.operators.vocabulary import Vocabulary, build_vocabulary
@@ -58,8 +59,7 @@ def word_vectors(spark: SparkSession, sf_dir: str, vocabulary: Vocabulary) -> Da
 
 def entries(df: DataFrame, vector: str, *keys: str, dim: str = "dim", value: str = "x") -> DataFrame:
     """Vectors as one row per component, rounded for comparison."""
-    long = df.select(*keys, F.posexplode(vector).alias(dim, value))
-    return long.withColumn(value, F.round(value, 6))
+    return unnest(df, list(keys), vector, value, at=dim).withColumn(value, F.round(value, 6))
 
 
 TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), lambda w: w <> '')"

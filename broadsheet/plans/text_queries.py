@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions import markup
 from broadsheet.functions import tokens as tok
+from broadsheet.functions.rows import unnest
+from broadsheet.functions.sizing import spread_out
 from broadsheet.operators import lemmas, tfidf, vocabulary
 from broadsheet.plans import inputs
 from broadsheet.session import scratch_path
@@ -26,7 +28,7 @@ def _press(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles: dated by id, first line as title, second line, if there is one, as summary."""
     lines = F.split("text", "\n")
     start = F.lit("2011-05-17 12:49:30").cast("timestamp")
-    return inputs.table(spark, sf_dir, "documents").select(
+    return inputs.documents(spark, sf_dir, "source").select(
         "doc_id",
         F.timestamp_add("SECOND", F.col("doc_id").cast("int"), start).alias("date"),
         "source",
@@ -74,7 +76,7 @@ def full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inputs.table(spark, sf_dir, "pages").where(~markup.is_redirect("html"))
+    pages = spread_out(inputs.table(spark, sf_dir, "pages").select("page_id", "html")).where(~markup.is_redirect("html"))
     return pages.select("page_id", markup.clean_markup("html").alias("words"))
 
 
@@ -83,18 +85,18 @@ def clean_wiki_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     body = F.when(F.col("lang") == "en", body).otherwise(F.concat(F.lit("#REDIRECT "), body))
     dump = F.concat(F.lit('<page><revision><text xml:space="preserve">'), body, F.lit("</text></revision></page>"))
-    pages = inputs.table(spark, sf_dir, "documents").select("doc_id", dump.alias("dump"))
-    bodies = pages.select("doc_id", F.explode(markup.text_elements("dump")).alias("text"))
+    pages = inputs.documents(spark, sf_dir, "lang").select("doc_id", dump.alias("dump"))
+    bodies = unnest(pages, ["doc_id"], markup.text_elements("dump"), "text")
     return bodies.select("doc_id", markup.clean_markup("text").alias("words"))
 
 
 def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stop list is a file again: short words of the benchmark corpus, one per line."""
     path = scratch_path(spark, "stop_words")
-    listed = inputs.table(spark, sf_dir, "benchmark").select(F.explode(tok.tokens("text")).alias("word"))
+    listed = unnest(inputs.table(spark, sf_dir, "benchmark"), [], tok.tokens("text"), "word")
     tables.write_text(listed.where("length(word) <= 4").distinct(), path)
     stop = text.read_stop_words(spark, path)
-    words = inputs.documents(spark, sf_dir).select("doc_id", F.explode(tok.tokens("text")).alias("word"))
+    words = unnest(inputs.documents(spark, sf_dir), ["doc_id"], tok.tokens("text"), "word")
     kept = words.where((F.length("word") >= 2) & tok.has_letters(F.col("word")))
     kept = lemmas.remove_stop_words(kept, stop)
     return kept.groupBy("word").agg(F.count("*").alias("n"))
@@ -102,7 +104,7 @@ def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forms in -s whose stem is a word of the benchmark corpus too."""
-    words = inputs.table(spark, sf_dir, "benchmark").select(F.explode(tok.tokens("text")).alias("word")).distinct()
+    words = unnest(inputs.table(spark, sf_dir, "benchmark"), [], tok.tokens("text"), "word").distinct()
     stems = words.select(F.col("word").alias("lemma"))
     forms = words.where(F.col("word").endswith("s")).select(F.col("word").alias("form"), F.expr("left(word, length(word) - 1)").alias("lemma"))
     return forms.join(stems, "lemma", "left_semi").select("form", "lemma")
@@ -110,7 +112,7 @@ def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lemma_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = lemmas.document_words(inputs.documents(spark, sf_dir), dictionary=_dictionary(spark, sf_dir))
-    lemma = words.select(F.explode("words").alias("lemma"))
+    lemma = unnest(words, [], "words", "lemma")
     return lemma.groupBy("lemma").agg(F.count("*").alias("n"))
 
 
@@ -136,7 +138,7 @@ def tfidf_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tfidf.tfidf_rows(*inputs.words_and_vocabulary(spark, sf_dir))
-    long = rows.select("doc_id", F.posexplode(vector_to_array("row")).alias("term_id", "w")).where("w != 0")
+    long = unnest(rows, ["doc_id"], vector_to_array("row"), "w", at="term_id").where("w != 0")
     return long.withColumn("w", F.round("w", 6))
 
 
@@ -161,7 +163,7 @@ def union_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.write_text(clean, path)
     press = inputs.documents(spark, sf_dir).select(tok.tokens("text").alias("words"))
     both = text.union_corpora(text.read_clean_corpus(spark, path), press)
-    return both.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return unnest(both, [], "words", "word").groupBy("word").agg(F.count("*").alias("n"))
 
 
 QUERIES = {
