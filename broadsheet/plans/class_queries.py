@@ -232,7 +232,7 @@ means AS (
   LEFT JOIN sums s ON s.doc_id = d.doc_id AND s.dim = g.dim)"""
 
 
-_ALL = "SELECT doc_id, dim, round(x, 6) AS x FROM means"
+_ALL = "SELECT doc_id, dim, round(x, 6) + 0.0 AS x FROM means"
 _CENTERS = f"""{inputs.COMPONENTS_SQL},
 centers AS (SELECT class, dim, avg(x) AS x FROM comp GROUP BY class, dim),
 dist AS (
@@ -261,21 +261,21 @@ ORACLE = {
 WITH {inputs.vocabulary_sql()}, {inputs.COMPONENTS_SQL},
 every AS (SELECT doc_id, unnest({inputs.TOKENS_SQL}) AS term FROM documents),
 kept AS (SELECT * FROM every WHERE length(term) >= 2 AND term NOT IN ({", ".join(f"'{w}'" for w in inputs.STOP_WORDS)}))
-SELECT k.doc_id, c.dim, round(avg(c.x), 6) AS x
+SELECT k.doc_id, c.dim, round(avg(c.x), 6) + 0.0 AS x
 FROM kept k JOIN vocab v USING (term) JOIN comp c ON c.doc_id = v.term_id GROUP BY k.doc_id, c.dim""",
     "concat_vectors": f"""
 WITH {inputs.COMPONENTS_SQL}
-SELECT doc_id, dim, round(x, 6) AS x FROM comp
-UNION ALL SELECT doc_id, CAST({2 * WIDTH - 1} - dim AS INTEGER), round(x, 6) FROM comp""",
+SELECT doc_id, dim, round(x, 6) + 0.0 AS x FROM comp
+UNION ALL SELECT doc_id, CAST({2 * WIDTH - 1} - dim AS INTEGER), round(x, 6) + 0.0 FROM comp""",
     "drop_zero_vectors": f"""{_centroid_sql("w")}
 SELECT doc_id, round(sum(abs(x)), 6) AS norm FROM means GROUP BY doc_id HAVING sum(abs(x)) > 0""",
     "standardize": f"""
 WITH {inputs.COMPONENTS_SQL},
 stats AS (SELECT dim, avg(x) AS m, stddev_samp(x) AS s FROM comp GROUP BY dim)
-SELECT doc_id, dim, round(CASE WHEN s > 0 THEN (x - m) / s ELSE 0.0 END, 6) AS x FROM comp JOIN stats USING (dim)""",
+SELECT doc_id, dim, round(CASE WHEN s > 0 THEN (x - m) / s ELSE 0.0 END, 6) + 0.0 AS x FROM comp JOIN stats USING (dim)""",
     "column_summary": f"""
 WITH {inputs.COMPONENTS_SQL}
-SELECT dim, count(*) FILTER (x <> 0) AS nonzeros, round(avg(x), 6) AS mean, round(var_samp(x), 6) AS variance,
+SELECT dim, count(*) FILTER (x <> 0) AS nonzeros, round(avg(x), 6) + 0.0 AS mean, round(var_samp(x), 6) AS variance,
        round(min(x), 6) AS min, round(max(x), 6) AS max, round(sum(abs(x)), 6) AS norm_l1,
        round(sqrt(sum(x * x)), 6) AS norm_l2
 FROM comp GROUP BY dim""",
@@ -289,7 +289,7 @@ FROM vocab a CROSS JOIN vocab b LEFT JOIN sums ON sums.i = a.term_id AND sums.j
     "project_loadings": f"""
 WITH {inputs.COMPONENTS_SQL},
 axes AS (SELECT CAST(unnest(range(4)) AS INTEGER) AS axis)
-SELECT doc_id, axis, round(sum(x * (((3 * dim + 5 * axis) % 7 - 3) / CAST(10 AS DOUBLE))), 6) AS x
+SELECT doc_id, axis, round(sum(x * (((3 * dim + 5 * axis) % 7 - 3) / CAST(10 AS DOUBLE))), 6) + 0.0 AS x
 FROM comp CROSS JOIN axes GROUP BY doc_id, axis""",
     "assign_nearest": f"""
 WITH {_CENTERS},
@@ -338,7 +338,7 @@ SELECT CAST(lattice AS INTEGER) AS lattice, CASE WHEN lattice = 0 THEN i1 ELSE i
 FROM placed GROUP BY ALL""",
     "classes_in_space": f"""
 WITH labels(class, label) AS (VALUES {_values(GROUP_LABELS)})
-SELECT vec_id AS doc_id, round(CAST(embedding[1] AS DOUBLE), 6) AS x, round(CAST(embedding[2] AS DOUBLE), 6) AS y,
+SELECT vec_id AS doc_id, round(CAST(embedding[1] AS DOUBLE), 6) + 0.0 AS x, round(CAST(embedding[2] AS DOUBLE), 6) + 0.0 AS y,
        coalesce(labels.label, CAST(e.label AS VARCHAR)) AS class
 FROM embeddings e LEFT JOIN labels ON labels.class = CAST(e.label AS VARCHAR)""",
     "classified_output": """

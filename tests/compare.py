@@ -11,6 +11,7 @@ import sys
 import time
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 
@@ -27,8 +28,6 @@ def normal(frame: pd.DataFrame) -> pd.DataFrame:
     for column in frame.columns:
         if pd.api.types.is_datetime64_any_dtype(frame[column]):
             frame[column] = frame[column].astype("datetime64[us]")
-        elif pd.api.types.is_float_dtype(frame[column]):
-            frame[column] = frame[column] + 0.0
     return frame.sort_values(list(frame.columns), ignore_index=True)
 
 
@@ -43,6 +42,8 @@ def difference(ours: pd.DataFrame, oracle: pd.DataFrame) -> str | None:
         if left[column].dtype != right[column].dtype:
             return f"type of {column}: {left[column].dtype} / {right[column].dtype}"
         unequal = (left[column] != right[column]) & ~(left[column].isna() & right[column].isna())
+        if pd.api.types.is_float_dtype(left[column]):
+            unequal |= np.signbit(left[column]) != np.signbit(right[column])
         if unequal.any():
             at = unequal.idxmax()
             return f"{int(unequal.sum())} values of {column}, first {left.loc[at].to_dict()} / {right.loc[at].to_dict()}"
