@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.rows import unnest
-from broadsheet.functions.sizing import driver_rows
 from broadsheet.functions.tokens import keep_words, tokens
+from broadsheet.operators.joins import lookup_join
 
 MAX_DICTIONARY = 1_000_000
 
@@ -39,9 +39,9 @@ def lemmatise(documents: DataFrame, dictionary: DataFrame, most: int = MAX_DICTI
     A dictionary of up to ``most`` forms goes to the tasks and is looked up batch-wise there, so documents
     are not shuffled. A larger one is joined, and the words are put together again by ``doc_id``.
     """
-    if dictionary.agg(F.count("*")).first()[0] > most:
+    rows = dictionary.select("form", "lemma").limit(most + 1).collect()
+    if len(rows) > most:
         return lemmatise_by_join(documents, dictionary)
-    rows = driver_rows(dictionary.select("form", "lemma"), most, "lemma dictionary")
     table = documents.sparkSession.sparkContext.broadcast(([r.form for r in rows], [r.lemma for r in rows]))
 
     @F.arrow_udf("array<string>")
@@ -63,7 +63,7 @@ def lemmatise_by_join(documents: DataFrame, dictionary: DataFrame) -> DataFrame:
     """The same for a dictionary of any size: one row per word, left join, regrouped in order."""
     others = [c for c in documents.columns if c not in ("doc_id", "words")]
     exploded = unnest(documents, ["doc_id"], "words", "form", at="at")
-    looked_up = exploded.join(dictionary.select("form", "lemma"), "form", "left")
+    looked_up = lookup_join(exploded, dictionary.select("form", "lemma"), "form", "left", spread_by="doc_id")
     lemma = F.coalesce("lemma", "form").alias("lemma")
     grouped = looked_up.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", lemma))).alias("found"))
     empty = F.array().cast("array<string>")

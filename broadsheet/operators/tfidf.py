@@ -53,17 +53,23 @@ def counts_long(counted: DataFrame, keep_empty: bool = False) -> DataFrame:
     return entries.where("f > 0 OR term_id = 0" if keep_empty else "f > 0")
 
 
+def vocabulary_counts(documents: DataFrame, vocabulary: Vocabulary, keep_empty: bool = False) -> DataFrame:
+    """``(…, n, term_id, f)``, one row per document and vocabulary term in it. Up to ``DENSE_TERMS`` terms this is
+    narrow; a wider vocabulary is joined and counted per document. ``keep_empty`` leaves documents without any
+    vocabulary term one row with ``f = 0``."""
+    if len(vocabulary.terms) <= DENSE_TERMS:
+        return counts_long(count_rows(documents, vocabulary), keep_empty)
+    others = [c for c in documents.columns if c != "words"]
+    table = vocabulary.table(documents.sparkSession).select("term_id", "term")
+    words = documents.select(*others, document_length().alias("n"), F.explode_outer("words").alias("term"))
+    found = words.join(table, "term", "left" if keep_empty else "inner")
+    return found.groupBy(*others, "n", "term_id").agg(F.count("term_id").cast("double").alias("f"))
+
+
 def tfidf_long(documents: DataFrame, vocabulary: Vocabulary, tf: str = "relative") -> DataFrame:
-    """``(doc_id, term_id, term, f, n, w)`` plus the other columns of ``documents``, one row per document and
-    vocabulary term in it; narrow, no shuffle, for vocabularies of usual size."""
+    """``(…, n, term_id, f, term, w)``: vocabulary counts with their terms and weights."""
     table = vocabulary.table(documents.sparkSession).select("term_id", "term", "idf")
-    if len(vocabulary.terms) <= DENSE_TERMS:
-        found = counts_long(count_rows(documents, vocabulary)).join(F.broadcast(table), "term_id")
-    else:
-        others = [c for c in documents.columns if c != "words"]
-        words = unnest(documents, [*others, document_length().alias("n")], "words", "term")
-        keys = [*others, "n", "term_id", "term", "idf"]
-        found = words.join(table, "term").groupBy(*keys).agg(F.count("*").cast("double").alias("f"))
+    found = vocabulary_counts(documents, vocabulary).join(F.broadcast(table), "term_id")
     return found.withColumn("w", _weight(F.col("f"), F.col("n"), F.col("idf"), tf)).drop("idf")
 
 

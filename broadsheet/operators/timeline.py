@@ -33,16 +33,16 @@ def label_classes(df: DataFrame, labels: DataFrame, class_type: str = "string")
     return joined.withColumn("class", label).drop("label")
 
 
-def class_timeline(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
+def class_timeline(df: DataFrame, id_column: str = "doc_id", parts: int | None = None) -> DataFrame:
     """``(id, date, class, csum, total, share)``: running count within the class, over all classes, and their
     ratio, in order of date, class, id.
 
     The ordered rows are frozen on shared storage between counting and numbering: both must see the same
-    split into tasks.
+    split into tasks. ``parts`` is the number of those, the session's shuffle partitions by default.
     """
     spark = df.sparkSession
     order = [F.asc_nulls_last("date"), F.asc("class"), F.asc(id_column)]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.select(id_column, "date", "class").repartitionByRange(parts, *order).sortWithinPartitions(*order)
     ordered = durable(ordered.withColumn("_at", F.monotonically_increasing_id()))
     ordered = ordered.withColumn("_part", F.shiftright("_at", ROW_BITS))

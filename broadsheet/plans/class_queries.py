@@ -17,9 +17,6 @@ from broadsheet.sources import tables, text, word_vectors
 
 GRAM_TERMS = 50
 
-# Loadings of the projection query, one row per dimension, from a rule.
-LOADINGS = [[((3 * dim + 5 * axis) % 7 - 3) / 10.0 for axis in range(4)] for dim in range(WIDTH)]
-
 # The classes of the time line and their labels; one class has none.
 TIMELINE_CLASSES = ["view", "click", "purchase", "signup"]
 CLASS_LABELS = {"view": "reading", "click": "following", "purchase": "buying"}
@@ -93,6 +90,35 @@ def svd_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries(factors.project_rows(rows, found.right), "projection", "doc_id", dim="axis", value="x")
 
 
+def _squared_norms(df: DataFrame, vector: str) -> DataFrame:
+    norm = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x)
+    return df.select("doc_id", F.round(norm, 6).alias("norm"))
+
+
+def svd_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eigenvalues together make up the squared weights."""
+    spectrum = _decomposed(spark, sf_dir, inputs.NUM_TERMS)[2].spectrum(spark)
+    return spectrum.agg(F.round(F.sum("eigenvalue"), 6).alias("trace"))
+
+
+def svd_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A projection on all axes keeps the length of every row."""
+    words, vocabulary = inputs.words_and_vocabulary(spark, sf_dir, num_terms=GRAM_TERMS)
+    rows = tfidf.tfidf_rows(words, vocabulary)
+    found = factors.decompose(rows, len(vocabulary.terms), GRAM_TERMS)
+    return _squared_norms(factors.project_rows(rows, found.right), "projection")
+
+
+def pca_standardized_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, projected = factors.principal_components(inputs.dense(spark, sf_dir), WIDTH)
+    return _squared_norms(projected, "projection")
+
+
+def pca_raw_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, projected = factors.principal_components(inputs.dense(spark, sf_dir), WIDTH, standardised=False)
+    return _squared_norms(projected, "projection")
+
+
 def pca_standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, projected = factors.principal_components(inputs.dense(spark, sf_dir), 10)
     return entries(projected, "projection", "doc_id", dim="axis")
@@ -104,7 +130,14 @@ def pca_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def project_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entries(factors.project_on(inputs.dense(spark, sf_dir), LOADINGS), "projection", "doc_id", dim="axis")
+    """Loadings from a number file: mean, deviation, least and greatest value of each dimension."""
+    dense = inputs.dense(spark, sf_dir)
+    summary = factors.column_summary(dense).orderBy("dim")
+    numbers = F.concat_ws(" ", "mean", F.sqrt("variance"), "min", "max")
+    path = scratch_path(spark, "loadings")
+    tables.write_text(summary.select(numbers.alias("value")).coalesce(1), path)
+    loadings = text.read_loadings(spark, path)
+    return entries(factors.project_on(dense, loadings), "projection", "doc_id", dim="axis")
 
 
 def kmeans_lsa(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,6 +230,13 @@ def classified_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.classified(docs, classes)
 
 
+def classified_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after a round trip through the result file, whose dates have seconds."""
+    path = scratch_path(spark, "classified")
+    tables.write_csv(classified_output(spark, sf_dir), path)
+    return tables.read_classified(spark, path)
+
+
 def train_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the model after a save and a load, with the length of their vectors."""
     press_words = inputs.documents(spark, sf_dir).select(tok.tokens("text").alias("words"))
@@ -212,10 +252,11 @@ QUERIES = {
     f.__name__: f
     for f in (
         embed_tfidf, embed_weight1, embed_missing_vectors, embed_mean, concat_vectors, drop_zero_vectors, standardize,
-        column_summary, gram_matrix, svd_spectrum, svd_projection, pca_standardized, pca_raw, project_loadings,
+        column_summary, gram_matrix, svd_spectrum, svd_trace, svd_projection, svd_norms, pca_standardized,
+        pca_standardized_norms, pca_raw, pca_raw_norms, project_loadings,
         kmeans_lsa, kmeans_embed, assign_nearest, nearest_docs, nearest_docs_terms, class_top_terms,
         concept_terms_docs, corpus_span, class_timeline, class_timeline_labelled, hexbin_counts, classes_in_space,
-        classified_output, train_word_vectors,
+        classified_output, classified_csv, train_word_vectors,
     )
 }
 
@@ -288,9 +329,20 @@ SELECT a.term_id AS i, b.term_id AS j, round(coalesce(value, 0.0), 6) AS value
 FROM vocab a CROSS JOIN vocab b LEFT JOIN sums ON sums.i = a.term_id AND sums.j = b.term_id""",
     "project_loadings": f"""
 WITH {inputs.COMPONENTS_SQL},
+stats AS (SELECT dim, [avg(x), stddev_samp(x), min(x), max(x)] AS loads FROM comp GROUP BY dim),
 axes AS (SELECT CAST(unnest(range(4)) AS INTEGER) AS axis)
-SELECT doc_id, axis, round(sum(x * (((3 * dim + 5 * axis) % 7 - 3) / CAST(10 AS DOUBLE))), 6) + 0.0 AS x
-FROM comp CROSS JOIN axes GROUP BY doc_id, axis""",
+SELECT doc_id, axis, round(sum(x * loads[axis + 1]), 6) + 0.0 AS x
+FROM comp JOIN stats USING (dim) CROSS JOIN axes GROUP BY doc_id, axis""",
+    "svd_trace": f"WITH {inputs.tfidf_sql()} SELECT round(sum(w * w), 6) AS trace FROM tfidf",
+    "svd_norms": f"""
+WITH {inputs.tfidf_sql(GRAM_TERMS)}, norms AS (SELECT doc_id, sum(w * w) AS norm FROM tfidf GROUP BY doc_id)
+SELECT doc_id, round(coalesce(norm, 0.0), 6) AS norm FROM documents LEFT JOIN norms USING (doc_id)""",
+    "pca_standardized_norms": f"""
+WITH {inputs.COMPONENTS_SQL},
+stats AS (SELECT dim, avg(x) AS m, stddev_samp(x) AS s FROM comp GROUP BY dim)
+SELECT doc_id, round(sum(((x - m) / s) * ((x - m) / s)), 6) AS norm FROM comp JOIN stats USING (dim) GROUP BY doc_id""",
+    "pca_raw_norms": f"""
+WITH {inputs.COMPONENTS_SQL} SELECT doc_id, round(sum(x * x), 6) AS norm FROM comp GROUP BY doc_id""",
     "assign_nearest": f"""
 WITH {_CENTERS},
 best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY distance, class) AS place FROM dist)
@@ -341,6 +393,13 @@ WITH labels(class, label) AS (VALUES {_values(GROUP_LABELS)})
 SELECT vec_id AS doc_id, round(CAST(embedding[1] AS DOUBLE), 6) + 0.0 AS x, round(CAST(embedding[2] AS DOUBLE), 6) + 0.0 AS y,
        coalesce(labels.label, CAST(e.label AS VARCHAR)) AS class
 FROM embeddings e LEFT JOIN labels ON labels.class = CAST(e.label AS VARCHAR)""",
+    "classified_csv": """
+SELECT doc_id, date_trunc('second', ts) AS date, quality AS class
+FROM documents JOIN events ON event_id = doc_id JOIN labels USING (doc_id)""",
+    "train_word_vectors": f"""
+SELECT word, 20 AS width
+FROM (SELECT unnest({inputs.TOKENS_SQL}) AS word FROM documents UNION ALL SELECT unnest({inputs.TOKENS_SQL}) FROM benchmark)
+GROUP BY word HAVING count(*) >= 5""",
     "classified_output": """
 SELECT doc_id, ts AS date, quality AS class
 FROM documents JOIN events ON event_id = doc_id JOIN labels USING (doc_id)""",

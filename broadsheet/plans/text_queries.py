@@ -125,6 +125,13 @@ def doc_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary.most_frequent(frequencies, inputs.NUM_TERMS)
 
 
+def document_frequencies_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, found = inputs.words_and_vocabulary(spark, sf_dir)
+    path = scratch_path(spark, "document_frequencies")
+    tables.write_document_frequencies(found.table(spark), path)
+    return spark.read.schema("term STRING, df BIGINT").csv(path, sep="\t")
+
+
 def idf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = inputs.words(spark, sf_dir)
     kept = vocabulary.most_frequent(vocabulary.document_frequencies(words), inputs.NUM_TERMS)
@@ -170,7 +177,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         tokenize_counts, extract_article_xml, article_titles, raw_record_fields, article_errors, full_text,
-        clean_markup, clean_wiki_dump, stopword_filter, lemma_dictionary, term_counts, doc_frequencies, idf_table,
+        clean_markup, clean_wiki_dump, stopword_filter, lemma_dictionary, term_counts, doc_frequencies,
+        document_frequencies_file, idf_table,
         tfidf_long, tfidf_vectors, corpus_terms, doc_top_terms, sample_scan, union_corpora,
     )
 }
@@ -236,6 +244,7 @@ WHERE length(lemma) >= 3 AND regexp_matches(lemma, '^\p{{L}}+$') GROUP BY lemma"
 WITH {inputs.WORDS_SQL}
 SELECT doc_id, term, count(*) AS f FROM (SELECT doc_id, unnest(words) AS term FROM words) GROUP BY doc_id, term""",
     "doc_frequencies": f"WITH {inputs.vocabulary_sql()} SELECT term_id, term, df FROM vocab",
+    "document_frequencies_file": f"WITH {inputs.vocabulary_sql()} SELECT term, df FROM vocab",
     "idf_table": f"WITH {inputs.vocabulary_sql()} SELECT term_id, term, df, round(idf, 6) AS idf FROM vocab",
     "tfidf_long": f"""
 WITH {inputs.tfidf_sql()} SELECT doc_id, term_id, term, f, CAST(n AS INTEGER) AS n, round(w, 6) AS w FROM tfidf""",

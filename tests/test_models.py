@@ -37,6 +37,15 @@ def test_words_outside_the_vocabulary_do_not_count(spark, mini, fruit_vectors):
     assert vectors(centroids.weighted_centroids(mini, found, fruit_vectors, 2, "one"))[1] == [1.0, 0.0]
 
 
+def test_centroids_of_a_wide_vocabulary(spark, mini_with_empty, mini, fruit_vectors, monkeypatch):
+    found = vocabulary.build_vocabulary(mini, 10)
+    expected = {w: vectors(centroids.weighted_centroids(mini_with_empty, found, fruit_vectors, 2, w)) for w in ("tfidf", "one")}
+    monkeypatch.setattr(tfidf, "DENSE_TERMS", 0)
+    monkeypatch.setattr(centroids, "BROADCAST_BYTES", 0)
+    for weighting, want in expected.items():
+        assert vectors(centroids.weighted_centroids(mini_with_empty, found, fruit_vectors, 2, weighting)) == want
+
+
 def test_plain_means(spark, mini_with_empty, fruit_vectors):
     got = vectors(centroids.plain_means(mini_with_empty, fruit_vectors, 2))
     assert sorted(got) == [1, 2, 3]
