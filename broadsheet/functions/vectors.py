@@ -28,7 +28,7 @@ def squared_distance(left: Column | str, right: Column | str) -> Column:
     return F.aggregate(squares, F.lit(0.0), lambda total, x: total + x)
 
 
-def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
+def vector_matrix(vectors: pa.Array, width: int) -> np.ndarray:
     """A batch of non-null vectors as rows."""
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
     if len(flat) != len(vectors) * width:
@@ -48,7 +48,7 @@ def squared_distances(vector: Column | str, centers: Sequence[Sequence[float]])
 
     @F.arrow_udf("array<double>")
     def measure(vectors: pa.Array) -> pa.Array:
-        rows = _matrix(vectors, fixed.shape[1])
+        rows = vector_matrix(vectors, fixed.shape[1])
         return _vectors(np.stack([((rows - center) ** 2).sum(axis=1) for center in fixed], axis=1))
 
     return measure(vector)
@@ -66,7 +66,7 @@ def project(vector: Column | str, loadings: Sequence[Sequence[float]]) -> Column
 
     @F.arrow_udf("array<double>")
     def multiply(vectors: pa.Array) -> pa.Array:
-        return _vectors(_matrix(vectors, fixed.shape[0]) @ fixed)
+        return _vectors(vector_matrix(vectors, fixed.shape[0]) @ fixed)
 
     return multiply(vector)
 

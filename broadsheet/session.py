@@ -46,9 +46,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Freeze ``df`` on shared storage, so that a lost executor cannot change its rows."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Write ``df`` to the shared folder and go on from there: the rows are computed once, a lost executor cannot
+    change them, and later passes read only the columns they need."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
