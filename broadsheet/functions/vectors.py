@@ -29,14 +29,15 @@ def squared_distance(left: Column | str, right: Column | str) -> Column:
 
 
 def vector_matrix(vectors: pa.Array, width: int) -> np.ndarray:
-    """A batch of non-null vectors as rows."""
+    """A batch of non-null vectors as rows of a matrix."""
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
     if len(flat) != len(vectors) * width:
         raise ValueError(f"vectors must not be null and must have {width} components")
     return flat.reshape(len(vectors), width)
 
 
-def _vectors(matrix: np.ndarray) -> pa.Array:
+def arrow_vectors(matrix: np.ndarray) -> pa.Array:
+    """The way back."""
     rows, width = matrix.shape
     offsets = np.arange(rows + 1, dtype=np.int32) * width
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(matrix.ravel(), pa.float64()))
@@ -49,7 +50,7 @@ def squared_distances(vector: Column | str, centers: Sequence[Sequence[float]])
     @F.arrow_udf("array<double>")
     def measure(vectors: pa.Array) -> pa.Array:
         rows = vector_matrix(vectors, fixed.shape[1])
-        return _vectors(np.stack([((rows - center) ** 2).sum(axis=1) for center in fixed], axis=1))
+        return arrow_vectors(np.stack([((rows - center) ** 2).sum(axis=1) for center in fixed], axis=1))
 
     return measure(vector)
 
@@ -66,7 +67,7 @@ def project(vector: Column | str, loadings: Sequence[Sequence[float]]) -> Column
 
     @F.arrow_udf("array<double>")
     def multiply(vectors: pa.Array) -> pa.Array:
-        return _vectors(vector_matrix(vectors, fixed.shape[0]) @ fixed)
+        return arrow_vectors(vector_matrix(vectors, fixed.shape[0]) @ fixed)
 
     return multiply(vector)
 

@@ -17,7 +17,6 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.functions.rows import unnest
 from broadsheet.functions.vectors import project
 
 MAX_COLUMNS = 4096
@@ -70,22 +69,10 @@ def decompose(df: DataFrame, width: int, k: int, vector: str = "row") -> Decompo
 
 
 def project_rows(df: DataFrame, loadings: np.ndarray, vector: str = "row") -> DataFrame:
-    """``(doc_id, projection)``: sparse rows times a bounded terms-by-axes matrix, every document kept.
-
-    The matrix is broadcast with one column per axis; the sums of a document are complete before the shuffle.
-    """
-    width, axes = np.asarray(loadings).shape
-    if width > MAX_COLUMNS:
-        raise ValueError(f"{width} rows of loadings, more than {MAX_COLUMNS}")
-    names = [f"x{i}" for i in range(axes)]
-    table = [(t, *(float(x) for x in row)) for t, row in enumerate(np.asarray(loadings))]
-    schema = "term_id INT, " + ", ".join(f"{n} DOUBLE" for n in names)
-    small = df.sparkSession.createDataFrame(table, schema)
-    entries = unnest(df, ["doc_id"], vector_to_array(vector), "w", at="term_id")
-    # Term 0 always stays, so a document of zeros keeps a row.
-    entries = entries.where("w != 0 OR term_id = 0").join(F.broadcast(small), "term_id")
-    sums = entries.groupBy("doc_id").agg(*[F.sum(F.col("w") * F.col(n)).alias(n) for n in names])
-    return sums.select("doc_id", F.array(*names).alias("projection"))
+    """``(doc_id, projection)``: sparse rows times a bounded terms-by-axes matrix, every document kept, no shuffle."""
+    if len(loadings) > MAX_COLUMNS:
+        raise ValueError(f"{len(loadings)} rows of loadings, more than {MAX_COLUMNS}")
+    return df.select("doc_id", project(vector_to_array(vector), loadings).alias("projection"))
 
 
 def project_on(df: DataFrame, loadings: list[list[float]], vector: str = "vector") -> DataFrame:

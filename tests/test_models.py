@@ -56,9 +56,16 @@ def test_plain_means(spark, mini_with_empty, fruit_vectors):
     assert stopped == {1: [1.0, 0.0]}
 
 
+def test_plain_means_do_not_depend_on_the_blocks(spark, mini_with_empty, fruit_vectors, monkeypatch):
+    whole = vectors(centroids.plain_means(mini_with_empty.coalesce(1), fruit_vectors, 2))
+    monkeypatch.setattr(centroids, "BLOCK_WORDS", 2)
+    assert vectors(centroids.plain_means(mini_with_empty.coalesce(1), fruit_vectors, 2)) == pytest.approx(whole)
+
+
 def test_plain_means_with_vectors_too_many_to_broadcast(spark, mini_with_empty, fruit_vectors, monkeypatch):
     small = vectors(centroids.plain_means(mini_with_empty, fruit_vectors, 2, drop_zero=False))
     monkeypatch.setattr("broadsheet.operators.joins.fits_broadcast", lambda *_: False)
+    monkeypatch.setattr("broadsheet.operators.centroids.fits_broadcast", lambda *_: False)
     assert vectors(centroids.plain_means(mini_with_empty, fruit_vectors, 2, drop_zero=False)) == small
 
 
