@@ -45,15 +45,16 @@ def not_stopped(word: Column, stop_words: Iterable[str]) -> Column:
     return ~word.isin(stop) if stop else F.lit(True)
 
 
-def keep_words(words: Column | str, stop_words: Iterable[str] = (), min_length: int = 3) -> Column:
-    """Words that may enter a vocabulary: long enough, not stopped, letters only. The pattern comes last: it costs
-    more than the other two tests together, and they spare it most words."""
-    stop = sorted(set(stop_words))
+def usable(word: Column, stop_words: Iterable[str] = (), min_length: int = 3) -> Column:
+    """Whether a word may enter a vocabulary: long enough, not stopped, letters only. The pattern comes last: it
+    costs more than the other two tests together, and they spare it most words."""
+    return (F.length(word) >= min_length) & not_stopped(word, stop_words) & letters_only(word)
 
-    def kept(word: Column) -> Column:
-        return (F.length(word) >= min_length) & not_stopped(word, stop) & letters_only(word)
 
-    return F.filter(words, kept)
+def keep_words(words: Column | str, stop_words: Iterable[str] = (), min_length: int = 3) -> Column:
+    """The words of an array that may enter a vocabulary."""
+    stop = sorted(set(stop_words))
+    return F.filter(words, lambda word: usable(word, stop, min_length))
 
 
 def distinct_words(words: Column | str) -> Column:

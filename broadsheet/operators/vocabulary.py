@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions.rows import unnest
@@ -53,10 +53,17 @@ class Vocabulary:
         return spark.createDataFrame(rows, "term_id INT, term STRING, df BIGINT, idf DOUBLE")
 
 
-def build_vocabulary(documents: DataFrame, num_terms: int = 1000) -> Vocabulary:
-    """One pass for the frequencies, one row count; ``num_terms`` rows come to the driver."""
+def build_vocabulary(documents: DataFrame, num_terms: int = 1000, usable: Column | None = None) -> Vocabulary:
+    """One pass for the frequencies, one row count; ``num_terms`` rows come to the driver.
+
+    With ``usable``, a condition on ``term``, ``words`` may hold all tokens: Spark then tests the distinct words of
+    a document in generated code, which is cheaper than testing every token of the array.
+    """
     if not 0 < num_terms <= MAX_TERMS:
         raise ValueError(f"num_terms must be between 1 and {MAX_TERMS}")
-    kept = document_frequencies(documents).orderBy(F.desc("df"), F.asc("term")).limit(num_terms)
+    frequencies = document_frequencies(documents)
+    if usable is not None:
+        frequencies = frequencies.where(usable)
+    kept = frequencies.orderBy(F.desc("df"), F.asc("term")).limit(num_terms)
     rows = driver_rows(kept, num_terms, "vocabulary")
     return Vocabulary([r.term for r in rows], [r.df for r in rows], documents.count())

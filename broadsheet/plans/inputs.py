@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.rows import unnest
 from broadsheet.functions.sizing import spread_out
+from broadsheet.functions.tokens import tokens, usable
 from broadsheet.operators.lemmas import document_words
 from broadsheet.operators.vocabulary import Vocabulary, build_vocabulary
 
@@ -39,8 +40,9 @@ def words(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 def words_and_vocabulary(
     spark: SparkSession, sf_dir: str, *extra: str, num_terms: int = NUM_TERMS
 ) -> tuple[DataFrame, Vocabulary]:
-    docs = words(spark, sf_dir, *extra)
-    return docs, build_vocabulary(docs, num_terms)
+    tokenised = documents(spark, sf_dir).select(tokens("text").alias("words"))
+    vocabulary = build_vocabulary(tokenised, num_terms, usable(F.col("term"), STOP_WORDS))
+    return words(spark, sf_dir, *extra), vocabulary
 
 
 def dense(spark: SparkSession, sf_dir: str) -> DataFrame:

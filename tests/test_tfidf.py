@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from broadsheet.functions import tokens as tok
 from broadsheet.operators import joins, lemmas, ranking, tfidf, vocabulary
 from broadsheet.operators.lemmas import document_words
 
@@ -25,6 +26,14 @@ def test_vocabulary_order_and_idf(spark, mini):
         vocabulary.build_vocabulary(mini, 0)
 
 
+def test_terms_may_be_tested_instead_of_tokens(spark):
+    docs = spark.createDataFrame([(1, "The cat, the 2 cats"), (2, "A cat_1 the cat"), (3, "")], "doc_id BIGINT, text STRING")
+    tokenised = docs.select("doc_id", tok.tokens("text").alias("words"))
+    after = vocabulary.build_vocabulary(tokenised, 10, tok.usable(F.col("term"), ["the"]))
+    assert after == vocabulary.build_vocabulary(document_words(docs, ["the"]), 10)
+    assert after.terms == ["cat", "cats"] and after.n_docs == 3
+
+
 def test_hand_worked_weights(spark, mini):
     found = vocabulary.build_vocabulary(mini, 10)
     got = weights(tfidf.tfidf_long(mini, found))
