@@ -1,7 +1,9 @@
-"""Arrays to rows."""
+"""Arrays to rows, and functions that must run once per row."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,3 +16,8 @@ def unnest(df: DataFrame, keep: list[str | Column], array: str | Column, value:
     """
     entry = F.posexplode_outer(array).alias(at, value) if at else F.explode_outer(array).alias(value)
     return df.select(*keep, entry).where(F.col(value).isNotNull())
+
+
+def run_once(udf: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep Spark from copying a Python function into filters on its result, which would run it twice."""
+    return udf.asNondeterministic()

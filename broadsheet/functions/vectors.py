@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from broadsheet.functions.rows import run_once
+
 
 def concat_vectors(left: Column | str, right: Column | str) -> Column:
     return F.concat(left, right)
@@ -52,7 +54,7 @@ def squared_distances(vector: Column | str, centers: Sequence[Sequence[float]])
         rows = vector_matrix(vectors, fixed.shape[1])
         return arrow_vectors(np.stack([((rows - center) ** 2).sum(axis=1) for center in fixed], axis=1))
 
-    return measure(vector)
+    return run_once(measure)(vector)
 
 
 def nearest(distances: Column | str) -> Column:
@@ -69,7 +71,7 @@ def project(vector: Column | str, loadings: Sequence[Sequence[float]]) -> Column
     def multiply(vectors: pa.Array) -> pa.Array:
         return arrow_vectors(vector_matrix(vectors, fixed.shape[0]) @ fixed)
 
-    return multiply(vector)
+    return run_once(multiply)(vector)
 
 
 def axes(vector: Column | str, first: int, second: int) -> list[Column]:

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.rows import unnest
+from broadsheet.functions.rows import run_once, unnest
 from broadsheet.functions.tokens import keep_words, tokens
 from broadsheet.operators.joins import lookup_join
 
@@ -56,7 +56,7 @@ def lemmatise(documents: DataFrame, dictionary: DataFrame, most: int = MAX_DICTI
             offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
             yield pa.ListArray.from_arrays(offsets, pc.coalesce(found, flat.cast(pa.string())))
 
-    return documents.withColumn("words", look_up("words"))
+    return documents.withColumn("words", run_once(look_up)("words"))
 
 
 def lemmatise_by_join(documents: DataFrame, dictionary: DataFrame) -> DataFrame:
