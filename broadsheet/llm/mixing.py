@@ -21,7 +21,7 @@ from broadsheet.llm.rows import as_bytes, slices
 from broadsheet.session import durable
 
 MAX_SOURCES = 100_000  # a mix names its sources; more is an error, not a cut
-BLOCK_DOCUMENTS = 50_000
+BLOCK_DOCUMENTS = 4096
 STEPS = 60
 TOLERANCE = 1e-9
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chat_format, decontaminate, line_dedup, mixing
+from broadsheet.llm import chat_format, decontaminate, jaccard_join, line_dedup, mixing
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -42,7 +42,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op5_mixing)}
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op5_mixing, op6_jaccard_join)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
