@@ -386,7 +386,7 @@ def _links(sets: DataFrame, similar: int, group_tokens: int) -> DataFrame:
     heads = postings.groupBy("token").agg(F.min("id").alias("head"), F.count("*").alias("n_ids")).where("n_ids > 1")
     edges = join_on_counted(postings, heads, ["token"], "n_ids").where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))
     comps = durable(components(edges))
-    sized = sets.join(comps, "id")
+    sized = durable(sets.join(comps, "id"))
     weights = sized.groupBy("comp").agg(F.sum(F.size("tokens")).alias("weight"), F.count("*").alias("n_ids"), F.min("id").alias("leader"))
     members = durable(join_on_counted(sized, weights, ["comp"], "n_ids").drop("n_ids"))
     half = max(1, group_tokens // 2)
@@ -444,7 +444,7 @@ def similar_components(
         .where(F.size("x") >= F.ceil(F.col("n") * similar / 100)).select("id", "n", F.col("x.token").alias("tokens"))
     )
     comps = components(_links(sets, similar, group_tokens))
-    merged = reps.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    merged = durable(reps.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
     smallest = merged.groupBy("comp").agg(F.min("min_doc").alias("component_id"), F.count("*").alias("n_ids"))
     class_of = join_on_counted(merged, smallest, ["comp"], "n_ids").select("h1", "h2", "component_id")
     sizes = usable.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chat_format, decontaminate, jaccard_join, line_dedup, mixing
+from broadsheet.llm import chat_format, decontaminate, jaccard_join, line_dedup, mixing, quality_rules, url_filter
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -46,7 +46,23 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op5_mixing, op6_jaccard_join)}
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes are the labels of the documents that the pages were made from: the number in a page's path."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    number = F.expr(r"try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) AS BIGINT)")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("good"))
+    outcomes = pages.select("url", number.alias("doc_id")).join(labels, "doc_id").select("url", "good")
+    return url_filter.filter_urls(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op4_url_filter, op5_mixing, op6_jaccard_join, op8_quality_rules)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
@@ -87,4 +103,58 @@ frequent AS (SELECT k, max(doc_id) AS last FROM lines WHERE length(k) >= 20 GROU
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE last IS NOT NULL AND last <> doc_id) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE last IS NULL OR last = doc_id), '')) AS kept_sha256
 FROM lines LEFT JOIN frequent USING (k) GROUP BY doc_id""",
+    "op8_quality_rules": rf"""WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+three AS (SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS p FROM d)),
+twice AS (SELECT doc_id, p FROM three SEMI JOIN (SELECT doc_id, g FROM three GROUP BY ALL HAVING count(*) > 1) USING (doc_id, g)),
+rep AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM twice) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, source, line, list_filter(regexp_split_to_array({_LOWERED.replace("coalesce(text, '')", "line")}, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS lw
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d)),
+full_lines AS (SELECT doc_id, source, line, array_to_string(lw, ' ') AS k, len(lw) AS n FROM lines WHERE len(lw) > 0),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM full_lines GROUP BY doc_id),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS n_host FROM d GROUP BY source),
+above AS (
+  SELECT source, k FROM (SELECT source, k, count(DISTINCT doc_id) AS n_docs FROM full_lines GROUP BY source, k HAVING count(DISTINCT doc_id) >= 20)
+  JOIN hosts USING (source) WHERE n_docs > 0.01 * n_host),
+lost AS (SELECT doc_id, sum(n) AS n_line_words FROM full_lines SEMI JOIN above USING (source, k) GROUP BY doc_id),
+j AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, CAST(coalesce(n_line_words, 0) AS BIGINT) AS n_line_words
+  FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_words - n_line_words < 0.3 * n_words) AS kept
+FROM j""",
+    "op4_url_filter": rf"""WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    TRY_CAST(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) AS BIGINT) AS doc_id FROM pages),
+h AS (
+  SELECT host, count(quality) AS n, coalesce(sum(quality), 0) AS good, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix
+  FROM p LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id) GROUP BY host),
+top AS (SELECT (sum(good) + 1.0) / (sum(n) + 2.0) AS m FROM h),
+s AS (SELECT suffix, sum(n) AS n, sum(good) AS good, (SELECT m FROM top) AS m FROM h GROUP BY suffix),
+sk AS (SELECT (1 - r) / r AS k FROM (SELECT {{rho}} AS r FROM s)),
+s2 AS (SELECT suffix, (good + k * m) / (n + k) AS m FROM s, sk),
+d AS (SELECT domain, g.n, g.good, s2.m FROM (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM h GROUP BY domain, suffix) g JOIN s2 USING (suffix)),
+dk AS (SELECT (1 - r) / r AS k FROM (SELECT {{rho}} AS r FROM d)),
+d2 AS (SELECT domain, (good + k * m) / (n + k) AS m FROM d, dk),
+hm AS (SELECT host, n, good, m FROM h JOIN d2 USING (domain)),
+hk AS (SELECT (1 - r) / r AS k FROM (SELECT {{rho}} AS r FROM hm)),
+post AS (SELECT host, good + k * m AS a, n - good + k * (1 - m) AS b FROM hm, hk),
+bound AS (SELECT host, a / (a + b) + 1.645 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) AS upper FROM post),
+ruled AS (
+  SELECT *, CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule FROM p)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN upper < 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled JOIN bound USING (host)""".replace(
+        "{rho}",
+        "least(0.5, greatest(0.001, round(coalesce((sum(pow(good - n * m, 2) / (m * (1 - m))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.001), 9)))",
+    ),
 }

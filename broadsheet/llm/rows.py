@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from broadsheet.session import durable
+
 SLICE_ROWS = 512
 HEAVY_KEYS = 1024
 
@@ -66,6 +68,7 @@ def join_on_counted(left: DataFrame, right: DataFrame, keys: list[str], counts:
     broadcast, and every other key goes through a shuffle join in which none holds more than a thousandth. ``how`` is
     ``inner`` or ``left``. Null keys match nothing.
     """
+    right = durable(right)
     total = right.agg(F.sum(counts)).first()[0] or 0
     heavy_if = F.col(counts) > total / HEAVY_KEYS
     heavy = right.where(heavy_if)
