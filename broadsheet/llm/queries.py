@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chat_format, decontaminate, jaccard_join, line_dedup, mixing, quality_rules, url_filter
+from broadsheet.llm import chat_format, decontaminate, jaccard_join, line_dedup, mixing, quality_gam, quality_rules, toxicity, url_filter
+from broadsheet.llm.samples import fold
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -62,7 +63,24 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op4_url_filter, op5_mixing, op6_jaccard_join, op8_quality_rules)}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 3) != 1)
+    return _scored(*toxicity.score(docs, model), fold(F.col("doc_id"), 3) == 1, toxicity.THRESHOLD)
+
+
+def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality_gam.train(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0)
+    return _scored(*quality_gam.score(docs, model), fold(F.col("doc_id"), 5) == 0, quality_gam.THRESHOLD)
+
+
+def _scored(out: DataFrame, name: str, held_out: Column, threshold: float) -> DataFrame:
+    score = F.col(name)["score"]
+    return out.select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op4_url_filter, op5_mixing, op6_jaccard_join, op7_toxicity, op8_quality_rules, op10_quality_gam)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
