@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chat_format, decontaminate, jaccard_join, line_dedup, mixing, quality_gam, quality_rules, toxicity, url_filter
+from broadsheet.llm import chat_format, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_gam, quality_rules, toxicity, url_filter
 from broadsheet.llm.samples import fold
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
+def page_number() -> Column:
+    return F.expr(r"try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) AS BIGINT)")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
@@ -53,9 +57,8 @@ RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes are the labels of the documents that the pages were made from: the number in a page's path."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
-    number = F.expr(r"try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) AS BIGINT)")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("good"))
-    outcomes = pages.select("url", number.alias("doc_id")).join(labels, "doc_id").select("url", "good")
+    outcomes = pages.select("url", page_number().alias("doc_id")).join(labels, "doc_id").select("url", "good")
     return url_filter.filter_urls(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -80,7 +83,16 @@ def _scored(out: DataFrame, name: str, held_out: Column, threshold: float) -> Da
     return out.select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op4_url_filter, op5_mixing, op6_jaccard_join, op7_toxicity, op8_quality_rules, op10_quality_gam)}
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled pages: the text of the document that a page was made from, whose id is the number in the page's path."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    truths = html_extract.sampled_truths(pages.select("page_id", page_number().alias("doc_id")), docs)
+    out = html_extract.extract_text(pages, html_extract.train(pages, truths))
+    return out.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op4_url_filter, op5_mixing, op6_jaccard_join, op7_toxicity, op8_quality_rules, op9_html_extract, op10_quality_gam)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
