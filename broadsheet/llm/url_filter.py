@@ -107,9 +107,10 @@ def filter_urls(
     parsed = pages.withColumn(host, host_of(F.col("url"))).withColumn(path, path_of(F.col("url")))
     counts = parsed.groupBy(host).agg(F.count("*").alias("n_pages")).withColumnRenamed(host, "host")
     labelled = outcomes.where("good IS NOT NULL").select(host_of(F.col("url")).alias("host"), F.col("good").cast("bigint").alias("good"))
+    n_pages = fresh_name([*pages.columns, *names.values()], "n_pages")
     known = reputations(labelled, counts.select("host")).join(counts, "host")
-    known = known.select(F.col("host").alias(host), F.col("mean").alias(names["good_mean"]), F.col("upper").alias(names["good_upper"]), F.col("n_pages").alias("_n_pages"))
-    joined = join_on_counted(parsed, known, [host], "_n_pages").drop("_n_pages")
+    known = known.select(F.col("host").alias(host), F.col("mean").alias(names["good_mean"]), F.col("upper").alias(names["good_upper"]), F.col("n_pages").alias(n_pages))
+    joined = join_on_counted(parsed, known, [host], n_pages).drop(n_pages)
     rule, says = rule_of(F.col(host), F.col(path), rules)
     method = F.when(F.col(names["good_upper"]) < least_good, "block").otherwise("allow")
     out = joined.withColumn(names["rule"], rule).withColumn(names["verdict"], F.coalesce(says, method))
