@@ -8,26 +8,26 @@ from pyspark.sql import functions as F
 # What is taken out or replaced, in the order it has to happen. Patterns are written in the
 # common subset of the Java and RE2 dialects. ``{1}`` in a replacement stands for the first group.
 MARKUP_RULES: list[tuple[str, str]] = [
-    (r"<[^>\n]*>", ""),  # tags closed on their own line
+    (r"<[^>\n]*>", ""),
     (r"&amp;", "&"),
     (r"&lt;", "<"),
     (r"&gt;", ">"),
-    (r"<ref[^<]*</ref>", ""),  # references
-    (r"<[^>]*>", ""),  # tags that were escaped
-    (r"\[http:[^\] ]*", "["),  # addresses, keeping the visible text
-    (r"(?i)\|thumb", ""),  # picture attributes, keeping the caption
+    (r"<ref[^<]*</ref>", ""),
+    (r"<[^>]*>", ""),
+    (r"\[http:[^\] ]*", "["),
+    (r"(?i)\|thumb", ""),
     (r"(?i)\|left", ""),
     (r"(?i)\|right", ""),
     (r"(?i)\|\d+px", ""),
     (r"(?i)\[\[image:[^\[\]]*\|", ""),
     (r"(?i)\[\[category:([^|\]]*)[^\]]*\]\]", "[[{1}]]"),
-    (r"\[\[[a-z\-]*:[^\]]*\]\]", ""),  # links to other languages
-    (r"\[\[[^|\]]*\|", "[["),  # link targets, keeping the visible text
-    (r"\{\{[^}]*\}\}", ""),  # templates
-    (r"\{[^}]*\}", ""),  # tables
+    (r"\[\[[a-z\-]*:[^\]]*\]\]", ""),
+    (r"\[\[[^|\]]*\|", "[["),
+    (r"\{\{[^}]*\}\}", ""),
+    (r"\{[^}]*\}", ""),
     (r"\[", ""),
     (r"\]", ""),
-    (r"&[^;]*;", " "),  # entities that are left
+    (r"&[^;]*;", " "),
 ]
 
 # Digits are spelled out.
@@ -39,9 +39,14 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def clean_markup(text: Column | str) -> Column:
     """Visible words only: markup removed, a-z lower-cased, digits spelled out, the rest single blanks.
 
-    Line ends survive; every result starts with one blank, as each cleaned piece does.
+    Every piece up to a ``>`` is cleaned by itself and begins with a blank, so that text before and after a tag stays apart and
+    no rule reaches across tags. Line ends survive.
     """
     out = F.col(text) if isinstance(text, str) else text
+    return F.array_join(F.transform(F.split(out, "(?<=>)"), _clean_piece), "")
+
+
+def _clean_piece(out: Column) -> Column:
     for pattern, replacement in MARKUP_RULES:
         out = F.regexp_replace(out, pattern, replacement.replace("{1}", "$1"))
     out = F.translate(F.concat(F.lit(" "), out, F.lit(" ")), UPPER, UPPER.lower())

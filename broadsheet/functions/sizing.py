@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 256 * 1024 * 1024
+FEW_SPLITS = 32
 
 
 def driver_rows(df: DataFrame, most: int, what: str) -> list[Row]:
@@ -24,8 +25,8 @@ def fits_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES)
 def spread_out(scan: DataFrame) -> DataFrame:
     """Give a scan of fewer splits than cores one split per core, such as a file of a single row group.
 
-    Only for bare scans: the number of splits is then known from planning, without a job. A large table has
-    more splits than there are cores and is left alone.
+    Only for bare scans: the number of splits is then known from planning, without a job. From ``FEW_SPLITS`` splits on a
+    table is left alone on any cluster, so that no large one is ever shuffled for this.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
+    cores = min(scan.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

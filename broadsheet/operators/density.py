@@ -10,13 +10,14 @@ XBINS = 30
 
 def hexbin_counts(points: DataFrame, xbins: int = XBINS) -> DataFrame:
     """``(lattice, i, j, n)`` of points ``(x, y)``: a hexagon grid is two shifted rectangular lattices, and a
-    point belongs to the nearer of its two candidate centres, the first on ties."""
+    point belongs to the nearer of its two candidate centres, the first on ties. An axis on which all points agree
+    has one row of cells."""
     lows = points.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
     bounds = lows.select(F.struct("x0", "x1", "y0", "y1").alias("b")).scalar()
     placed = points.where("x IS NOT NULL AND y IS NOT NULL").withColumn("b", bounds)
     placed = placed.select(
-        F.expr(f"{xbins} * (x - b.x0) / (b.x1 - b.x0)").alias("sx"),
-        F.expr(f"{xbins} * (y - b.y0) / ((b.y1 - b.y0) * sqrt(3D))").alias("sy"),
+        F.expr(f"coalesce({xbins} * (x - b.x0) / nullif(b.x1 - b.x0, 0), 0D)").alias("sx"),
+        F.expr(f"coalesce({xbins} * (y - b.y0) / (nullif(b.y1 - b.y0, 0) * sqrt(3D)), 0D)").alias("sy"),
     )
     near = placed.selectExpr(
         "floor(sx + 0.5D) AS j1", "floor(sy + 0.5D) AS i1", "floor(sx) AS j2", "floor(sy) AS i2", "sx", "sy"

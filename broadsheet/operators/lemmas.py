@@ -74,7 +74,8 @@ def lemmatise_by_join(documents: DataFrame, dictionary: DataFrame) -> DataFrame:
 def lemmatise_with(
     documents: DataFrame, make_lemmatiser: Callable[[], Callable[[str], list[str]]], stop_words: Iterable[str] = ()
 ) -> DataFrame:
-    """Runs a user's lemmatiser over ``text``; its costly set-up happens once per task, not per document."""
+    """Runs a user's lemmatiser over ``text``; its costly set-up happens once per task, not per document. Of its lemmas those of
+    three letters and more stay; null text is empty."""
     stop = frozenset(stop_words)
     others = [f for f in documents.schema.fields if f.name not in ("text", "words")]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others] + ["words array<string>"])
@@ -82,7 +83,7 @@ def lemmatise_with(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         to_lemmas = make_lemmatiser()
         for batch in batches:
-            words = [[w for w in to_lemmas(text) if w not in stop] for text in batch["text"]]
+            words = [[w for w in to_lemmas(text or "") if len(w) >= 3 and w.isalpha() and w not in stop] for text in batch["text"]]
             yield batch[[f.name for f in others]].assign(words=words)
 
     return documents.mapInPandas(run, schema)

@@ -49,8 +49,10 @@ def counts_long(counted: DataFrame, keep_empty: bool = False) -> DataFrame:
     """``(doc_id, n, term_id, f)`` from count rows. ``keep_empty`` leaves one row with ``f = 0`` in documents
     that have no term 0, so that later groupings do not lose documents without terms."""
     others = [c for c in counted.columns if c != "counts"]
-    entries = unnest(counted, others, vector_to_array("counts"), "f", at="term_id")
-    return entries.where("f > 0 OR term_id = 0" if keep_empty else "f > 0")
+    numbered = F.transform(vector_to_array("counts"), lambda f, i: F.struct(i.alias("term_id"), f.alias("f")))
+    found = F.filter(numbered, lambda e: (e["f"] > 0) | (e["term_id"] == 0) if keep_empty else e["f"] > 0)
+    entries = unnest(counted, others, found, "entry")
+    return entries.select(*others, "entry.term_id", "entry.f")
 
 
 def vocabulary_counts(documents: DataFrame, vocabulary: Vocabulary, keep_empty: bool = False) -> DataFrame:

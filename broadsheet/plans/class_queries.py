@@ -20,7 +20,7 @@ GRAM_TERMS = 50
 # The classes of the time line and their labels; one class has none.
 TIMELINE_CLASSES = ["view", "click", "purchase", "signup"]
 CLASS_LABELS = {"view": "reading", "click": "following", "purchase": "buying"}
-GROUP_LABELS = {0: "politics", 1: "accusations", 2: "succession", 5: "bail", 9: "court"}
+GROUP_LABELS = {1: "amber", 3: "birch", 4: "cedar", 7: "dune"}
 
 
 def _centroids(spark: SparkSession, sf_dir: str, weighting: str, num_terms: int = inputs.NUM_TERMS) -> DataFrame:

@@ -17,6 +17,10 @@ from broadsheet.sources import articles as xml
 from broadsheet.sources import tables, text
 
 
+FIRST_SECOND = 1_577_836_800  # 2020-01-01 00:00:00 UTC
+SAMPLE_SEED = 7
+
+
 def tokenize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = inputs.documents(spark, sf_dir).select("doc_id", tok.tokens("text").alias("words"))
     return words.select(
@@ -27,10 +31,9 @@ def tokenize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _press(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles: dated by id, first line as title, second line, if there is one, as summary."""
     lines = F.split("text", "\n")
-    start = F.lit("2011-05-17 12:49:30").cast("timestamp")
     return inputs.documents(spark, sf_dir, "source").select(
         "doc_id",
-        F.timestamp_add("SECOND", F.col("doc_id").cast("int"), start).alias("date"),
+        F.timestamp_seconds(F.lit(FIRST_SECOND) + F.col("doc_id")).alias("date"),
         "source",
         F.get(lines, F.lit(0)).alias("title"),
         F.get(lines, F.lit(1)).alias("summary"),
@@ -61,7 +64,7 @@ def article_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken_id = F.concat(F.lit("no-"), F.col("doc_id").cast("string"))
     records = inputs.table(spark, sf_dir, "documents").select(
         F.when(F.col("lang") == "fr", broken_id).otherwise(F.col("doc_id").cast("string")).alias("docid"),
-        F.when(F.col("lang") == "de", "2011-13-01 00:00:00").when(F.col("lang") == "en", "").otherwise("2011-05-18 16:30:35").alias("date"),
+        F.when(F.col("lang") == "de", "2020-13-01 00:00:00").when(F.col("lang") == "en", "").otherwise("2020-02-03 04:05:06").alias("date"),
         "source",
         "text",
     )
@@ -70,6 +73,24 @@ def article_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml.article_errors(xml.read_article_records(spark, path))
 
 
+def malformed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles of which some are no XML, some repeat an element and some have markup in it: good ones and rejected ones."""
+    tag = lambda name, of: F.concat(F.lit(f"<{name}>"), of, F.lit(f"</{name}>"))
+    title = F.when(F.col("lang") == "de", F.lit("<title>one </title><title>two</title>")).otherwise(
+        F.concat(F.lit("<title>one <b>"), F.col("lang"), F.lit("</b> and more</title>"))
+    )
+    broken = F.when(F.col("lang") == "fr", F.when(F.col("doc_id") % 2 == 0, F.lit("<text>R & D</text>")).otherwise(F.lit("<text>open"))).otherwise(F.lit(""))
+    record = F.concat(F.lit("<document>"), tag("docid", F.col("doc_id").cast("string")), title, broken, F.lit("</document>"))
+    path = scratch_path(spark, "articles")
+    tables.write_text(inputs.table(spark, sf_dir, "documents").select(record.alias("line")), path)
+    records = xml.read_article_records(spark, path)
+    good = records.where("record IS NULL").select(xml.id_field().alias("doc_id"), F.lit("good").alias("kind"), "title")
+    bad = xml.article_errors(records).select(
+        F.regexp_extract("record", "<docid>([0-9]+)</docid>", 1).cast("bigint").alias("doc_id"), F.col("reason").alias("kind"), F.lit(None).cast("string").alias("title")
+    )
+    return good.unionByName(bad)
+
+
 def full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = _press(spark, sf_dir).select("doc_id", xml.full_text().alias("full_text"))
     return joined.select("doc_id", F.length("full_text").cast("bigint").alias("n_chars"), F.md5("full_text").alias("digest"))
@@ -160,7 +181,7 @@ def doc_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.sample_rows(inputs.documents(spark, sf_dir), 0.01, seed=7)
+    return text.sample_rows(inputs.documents(spark, sf_dir), 0.01, seed=SAMPLE_SEED)
 
 
 def union_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +197,7 @@ def union_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        tokenize_counts, extract_article_xml, article_titles, raw_record_fields, article_errors, full_text,
+        tokenize_counts, extract_article_xml, article_titles, raw_record_fields, article_errors, malformed_articles, full_text,
         clean_markup, clean_wiki_dump, stopword_filter, lemma_dictionary, term_counts, doc_frequencies,
         document_frequencies_file, idf_table,
         tfidf_long, tfidf_vectors, corpus_terms, doc_top_terms, sample_scan, union_corpora,
@@ -185,12 +206,17 @@ QUERIES = {
 
 _TOKENS = inputs.TOKENS_SQL
 _PRESS = r"""press AS (
-  SELECT doc_id, TIMESTAMP '2011-05-17 12:49:30' + to_seconds(CAST(doc_id AS DOUBLE)) AS date, source,
+  SELECT doc_id, TIMESTAMP '2020-01-01 00:00:00' + to_seconds(CAST(doc_id AS DOUBLE)) AS date, source,
          coalesce(string_split(text, chr(10))[1], '') AS title, coalesce(string_split(text, chr(10))[2], '') AS summary, text
   FROM documents)"""
 
 
 def _markup_sql(column: str) -> str:
+    """The rules on each piece that ends in ``>``."""
+    return f"array_to_string(list_transform(string_split(replace({column}, '>', '>' || chr(1)), chr(1)), lambda p: {_piece_sql('p')}), '')"
+
+
+def _piece_sql(column: str) -> str:
     sql = column
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     for pattern, replacement in markup.MARKUP_RULES:
@@ -211,8 +237,8 @@ FROM (SELECT doc_id, {_TOKENS} AS t FROM documents)""",
     "raw_record_fields": f"WITH {_PRESS} SELECT doc_id, date, text FROM press",
     "article_errors": """
 SELECT CASE WHEN lang = 'fr' THEN 'no-' || doc_id ELSE CAST(doc_id AS VARCHAR) END AS docid,
-       CASE WHEN lang = 'de' THEN '2011-13-01 00:00:00' ELSE '2011-05-18 16:30:35' END AS date,
-       CASE WHEN lang = 'fr' THEN 'docid' ELSE 'date' END AS reason
+       CASE WHEN lang = 'de' THEN '2020-13-01 00:00:00' ELSE '2020-02-03 04:05:06' END AS date,
+       CASE WHEN lang = 'fr' THEN 'docid' ELSE 'date' END AS reason, CAST(NULL AS VARCHAR) AS record
 FROM documents WHERE lang IN ('fr', 'de')""",
     "full_text": f"""
 WITH {_PRESS}, joined AS (SELECT doc_id, title || ' ' || summary || ' ' || text AS full_text FROM press)
@@ -224,6 +250,11 @@ WITH bodies AS (
   SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS body
   FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '(?i)#redirect'))
 SELECT doc_id, {_markup_sql("body")} AS words FROM bodies""",
+    "sample_scan": f"SELECT doc_id, text FROM documents WHERE left(md5(doc_id || '-{SAMPLE_SEED}'), 8) < '{text.hash_bound(0.01)}'",
+    "malformed_articles": """
+SELECT doc_id, CASE WHEN lang = 'fr' THEN 'record' ELSE 'good' END AS kind,
+       CASE WHEN lang = 'fr' THEN NULL WHEN lang = 'de' THEN 'one two' ELSE 'one ' || lang || ' and more' END AS title
+FROM documents""",
     "stopword_filter": rf"""
 WITH stop AS (
   SELECT DISTINCT word FROM (SELECT unnest({_TOKENS}) AS word FROM benchmark) WHERE length(word) <= 4)

@@ -41,7 +41,9 @@ def test_markup_keeps_visible_text_only(spark):
         "[http://x.org/page the page] {{stub}} {table}": " the page ",
         "See &lt;ref name=a&gt;book&lt;/ref&gt; &amp;nbsp; 42": " see four two ",
         "[[Category:Cities|*]] [[de:Stadt]]": " cities ",
-        "one<br>two\nthree": " onetwo\nthree ",
+        "one<br>two\nthree": " one two\nthree ",
+        "<p>alpha</p><p>beta</p>": " alpha beta",
+        "AT&T rules<p>more text; end</p>": " at t rules more text end",
         "ÉCOLE": " cole ",
     }
     for text, clean in cases.items():
