@@ -119,8 +119,7 @@ def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     stop = text.read_stop_words(spark, path)
     words = unnest(inputs.documents(spark, sf_dir), ["doc_id"], tok.tokens("text"), "word")
     kept = words.where((F.length("word") >= 2) & tok.has_letters(F.col("word")))
-    kept = lemmas.remove_stop_words(kept, stop)
-    return kept.groupBy("word").agg(F.count("*").alias("n"))
+    return lemmas.remove_stop_words(kept.groupBy("word").agg(F.count("*").alias("n")), stop)
 
 
 def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,16 +123,17 @@ def test_unknown_forms_stay(spark, forms):
 
 
 def test_own_lemmatiser_is_set_up_once_per_task(spark):
-    docs = spark.createDataFrame([(i, f"Run{i} the") for i in range(20)], "doc_id BIGINT, text STRING").coalesce(1)
+    docs = spark.createDataFrame([(i, "Run" + "n" * i + " the of 42") for i in range(20)] + [(20, None)], "doc_id BIGINT, text STRING").coalesce(1)
 
     def make():
         seen = []
 
         def split(text):
             seen.append(text)
-            return [w.lower() for w in text.split()] + [f"call{len(seen)}"]
+            return [w.lower() for w in text.split()] + ["call" + "l" * len(seen)]
 
         return split
 
     got = {r.doc_id: r.words for r in lemmas.lemmatise_with(docs, make, ["the"]).collect()}
-    assert got[0] == ["run0", "call1"] and got[19] == ["run19", "call20"]
+    assert got[0] == ["run", "calll"] and got[19] == ["run" + "n" * 19, "call" + "l" * 20]
+    assert got[20] == ["call" + "l" * 21]
