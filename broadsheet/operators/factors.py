@@ -43,7 +43,7 @@ def gram_table(spark: SparkSession, gram: np.ndarray) -> DataFrame:
 
 @dataclass(frozen=True)
 class Decomposition:
-    """Truncated singular value decomposition: values, and right vectors as columns. Signs are arbitrary."""
+    """Truncated singular value decomposition: values, and right vectors as columns, the largest component of each positive."""
 
     values: np.ndarray
     right: np.ndarray
@@ -65,7 +65,9 @@ def decompose(df: DataFrame, width: int, k: int, vector: str = "row") -> Decompo
     order = np.argsort(eigenvalues)[::-1][:k]
     values = np.sqrt(np.clip(eigenvalues[order], 0.0, None))
     kept = values > 1e-9 * max(values[0], 1e-300)
-    return Decomposition(values[kept], vectors[:, order][:, kept])
+    right = vectors[:, order][:, kept]
+    signs = np.where(right[np.abs(right).argmax(axis=0), np.arange(right.shape[1])] < 0, -1.0, 1.0)
+    return Decomposition(values[kept], right * signs)
 
 
 def project_rows(df: DataFrame, loadings: np.ndarray, vector: str = "row") -> DataFrame:
