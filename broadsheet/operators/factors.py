@@ -1,7 +1,8 @@
 """Singular values, principal components and projections.
 
 Matrices here are tall and narrow: documents by a bounded number of terms or dimensions. One pass adds up the
-small square matrix of column products; its decomposition is a driver matter of that bounded size.
+small square matrix of column products; its decomposition is a driver matter of that bounded size. Wider matrices
+are decomposed by repeated products with the distributed rows, where the driver holds a few vectors only.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.functions.sizing import BROADCAST_BYTES
 from broadsheet.functions.vectors import project
 
 MAX_COLUMNS = 4096
@@ -60,20 +62,24 @@ class Decomposition:
 
 
 def decompose(df: DataFrame, width: int, k: int, vector: str = "row") -> Decomposition:
-    """The ``k`` largest singular values of the uncentred rows, from one pass over them."""
-    eigenvalues, vectors = np.linalg.eigh(gram_matrix(df, width, vector))
-    order = np.argsort(eigenvalues)[::-1][:k]
-    values = np.sqrt(np.clip(eigenvalues[order], 0.0, None))
+    """The ``k`` largest singular values of the uncentred rows, from one pass over them up to ``MAX_COLUMNS`` columns."""
+    if width > MAX_COLUMNS:
+        found = row_matrix(df, vector).computeSVD(min(k, width - 1))
+        values, right = found.s.toArray(), found.V.toArray()
+    else:
+        eigenvalues, vectors = np.linalg.eigh(gram_matrix(df, width, vector))
+        order = np.argsort(eigenvalues)[::-1][:k]
+        values, right = np.sqrt(np.clip(eigenvalues[order], 0.0, None)), vectors[:, order]
     kept = values > 1e-9 * max(values[0], 1e-300)
-    right = vectors[:, order][:, kept]
+    right = right[:, kept]
     signs = np.where(right[np.abs(right).argmax(axis=0), np.arange(right.shape[1])] < 0, -1.0, 1.0)
     return Decomposition(values[kept], right * signs)
 
 
 def project_rows(df: DataFrame, loadings: np.ndarray, vector: str = "row") -> DataFrame:
     """``(doc_id, projection)``: sparse rows times a bounded terms-by-axes matrix, every document kept, no shuffle."""
-    if len(loadings) > MAX_COLUMNS:
-        raise ValueError(f"{len(loadings)} rows of loadings, more than {MAX_COLUMNS}")
+    if loadings.nbytes > BROADCAST_BYTES:
+        raise ValueError(f"loadings of {loadings.nbytes} bytes, more than {BROADCAST_BYTES}")
     return df.select("doc_id", project(vector_to_array(vector), loadings).alias("projection"))
 
 

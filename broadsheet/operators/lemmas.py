@@ -13,15 +13,24 @@ from pyspark.sql import functions as F
 from broadsheet.functions.rows import run_once, unnest
 from broadsheet.functions.tokens import keep_words, tokens
 from broadsheet.operators.joins import lookup_join
+from broadsheet.session import numbered
 
 MAX_DICTIONARY = 1_000_000
 
 
 def document_words(
-    documents: DataFrame, stop_words: Iterable[str] = (), min_length: int = 3, dictionary: DataFrame | None = None
+    documents: DataFrame,
+    stop_words: Iterable[str] = (),
+    min_length: int = 3,
+    dictionary: DataFrame | None = None,
+    make_lemmatiser: Callable[[], Callable[[str], list[str]]] | None = None,
 ) -> DataFrame:
-    """Adds ``words``: the words of ``text`` that may enter a vocabulary, as lemmas if a dictionary is given.
-    ``text`` is dropped, other columns stay."""
+    """Adds ``words``: the words of ``text`` that may enter a vocabulary, as lemmas if a dictionary or a lemmatiser of the
+    user's own is given. ``text`` is dropped, other columns stay."""
+    if make_lemmatiser is not None:
+        if dictionary is not None:
+            raise ValueError("give a dictionary or a lemmatiser, not both")
+        return lemmatise_with(documents, make_lemmatiser, stop_words)
     tokenised = documents.withColumn("words", tokens("text")).drop("text")
     if dictionary is not None:
         tokenised = lemmatise(tokenised, dictionary)
@@ -34,14 +43,18 @@ def remove_stop_words(words: DataFrame, stop_words: DataFrame) -> DataFrame:
 
 
 def lemmatise(documents: DataFrame, dictionary: DataFrame, most: int = MAX_DICTIONARY) -> DataFrame:
-    """Replaces each entry of ``words`` by its lemma from a ``(form, lemma)`` table with unique forms.
+    """Replaces each entry of ``words`` by its lemma from a ``(form, lemma)`` table.
 
     A dictionary of up to ``most`` forms goes to the tasks and is looked up batch-wise there, so documents
-    are not shuffled. A larger one is joined, and the words are put together again by ``doc_id``.
+    are not shuffled. A larger one is joined, and the words are put together again row by row. Either way a form that is
+    listed several times takes its smallest lemma, null entries are dropped, a null list becomes empty, and rows of equal or
+    null ids stay apart.
     """
-    rows = dictionary.select("form", "lemma").limit(most + 1).collect()
+    documents = documents.withColumn("words", F.array_compact("words"))
+    unique = dictionary.where("form IS NOT NULL").groupBy("form").agg(F.min("lemma").alias("lemma"))
+    rows = unique.limit(most + 1).collect()
     if len(rows) > most:
-        return lemmatise_by_join(documents, dictionary)
+        return _lemmatise_by_join(documents, unique)
     table = documents.sparkSession.sparkContext.broadcast(([r.form for r in rows], [r.lemma for r in rows]))
 
     @F.arrow_udf("array<string>")
@@ -59,16 +72,16 @@ def lemmatise(documents: DataFrame, dictionary: DataFrame, most: int = MAX_DICTI
     return documents.withColumn("words", run_once(look_up)("words"))
 
 
-def lemmatise_by_join(documents: DataFrame, dictionary: DataFrame) -> DataFrame:
+def _lemmatise_by_join(documents: DataFrame, dictionary: DataFrame) -> DataFrame:
     """The same for a dictionary of any size: one row per word, left join, regrouped in order."""
-    others = [c for c in documents.columns if c not in ("doc_id", "words")]
-    exploded = unnest(documents, ["doc_id"], "words", "form", at="at")
-    looked_up = lookup_join(exploded, dictionary.select("form", "lemma"), "form", "left", spread_by="doc_id")
+    columns = documents.columns
+    documents = numbered(documents)
+    exploded = unnest(documents, ["_row"], "words", "form", at="at")
+    looked_up = lookup_join(exploded, dictionary, "form", "left", spread_by="_row")
     lemma = F.coalesce("lemma", "form").alias("lemma")
-    grouped = looked_up.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", lemma))).alias("found"))
-    empty = F.array().cast("array<string>")
-    words = F.coalesce(F.col("found.lemma"), empty).alias("words")
-    return documents.select("doc_id", *others).join(grouped, "doc_id", "left").select("doc_id", *others, words)
+    grouped = looked_up.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", lemma))).alias("found"))
+    words = F.coalesce(F.col("found.lemma"), F.array().cast("array<string>"))
+    return documents.drop("words").join(grouped, "_row", "left").withColumn("words", words).select(*columns)
 
 
 def lemmatise_with(

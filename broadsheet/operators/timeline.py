@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.session import durable
 
+PART_ROWS = 4_000_000  # rows of one task, at which further ones are taken
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its lower 33 bits
 
 
@@ -38,11 +39,13 @@ def class_timeline(df: DataFrame, id_column: str = "doc_id", parts: int | None =
     ratio, in order of date, class, id.
 
     The ordered rows are frozen on shared storage between counting and numbering: both must see the same
-    split into tasks. ``parts`` is the number of those, the session's shuffle partitions by default.
+    split into tasks. ``parts`` is the number of those; by default the session's shuffle partitions, or as many as leave
+    each ``PART_ROWS`` rows.
     """
     spark = df.sparkSession
     order = [F.asc_nulls_last("date"), F.asc("class"), F.asc(id_column)]
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if parts is None:
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // PART_ROWS))
     ordered = df.select(id_column, "date", "class").repartitionByRange(parts, *order).sortWithinPartitions(*order)
     ordered = durable(ordered.withColumn("_at", F.monotonically_increasing_id()))
     ordered = ordered.withColumn("_part", F.shiftright("_at", ROW_BITS))

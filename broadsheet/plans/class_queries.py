@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Word2VecModel
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions import tokens as tok
 from broadsheet.functions import vectors as vec
+from broadsheet.functions.sizing import BROADCAST_BYTES
 from broadsheet.operators import centroids, clusters, concepts, density, factors, tfidf, timeline
 from broadsheet.plans import inputs, press
 from broadsheet.plans.inputs import NUM_TERMS_WIDE, WIDTH, entries
-from broadsheet.session import scratch_path
+from broadsheet.session import durable, scratch_path
 from broadsheet.sources import tables, text, word_vectors
 
-GRAM_TERMS = 50
-
 # The classes of the time line and their labels; one class has none.
 TIMELINE_CLASSES = ["view", "click", "purchase", "signup"]
 CLASS_LABELS = {"view": "reading", "click": "following", "purchase": "buying"}
@@ -48,6 +47,29 @@ def embed_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries(centroids.plain_means(every, vectors, WIDTH, inputs.STOP_WORDS), "vector", "doc_id")
 
 
+def _both_forms(make) -> DataFrame:
+    """What ``make`` returns with vectors broadcast and with vectors joined."""
+    row, join = (make(most).withColumn("form", F.lit(form)) for form, most in (("row", BROADCAST_BYTES), ("join", 0)))
+    return entries(row.unionByName(join), "vector", "form", "doc_id")
+
+
+def embed_tfidf_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document twice under the same id."""
+    words, vocabulary = inputs.words_and_vocabulary(spark, sf_dir)
+    vectors = inputs.word_vectors(spark, sf_dir, vocabulary)
+    twice = words.unionByName(words)
+    return _both_forms(lambda most: centroids.weighted_centroids(twice, vocabulary, vectors, WIDTH, "tfidf", most))
+
+
+def embed_mean_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document twice under the same id."""
+    _, vocabulary = inputs.words_and_vocabulary(spark, sf_dir)
+    vectors = inputs.word_vectors(spark, sf_dir, vocabulary)
+    every = inputs.documents(spark, sf_dir).select("doc_id", tok.tokens("text").alias("words"))
+    twice = every.unionByName(every)
+    return _both_forms(lambda most: centroids.plain_means(twice, vectors, WIDTH, inputs.STOP_WORDS, most_bytes=most))
+
+
 def concat_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     dense = inputs.dense(spark, sf_dir)
     both = dense.select("doc_id", vec.concat_vectors("vector", F.reverse("vector")).alias("vector"))
@@ -70,7 +92,7 @@ def column_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gram_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words, vocabulary = inputs.words_and_vocabulary(spark, sf_dir, num_terms=GRAM_TERMS)
+    words, vocabulary = inputs.words_and_vocabulary(spark, sf_dir)
     gram = factors.gram_matrix(tfidf.tfidf_rows(words, vocabulary), len(vocabulary.terms))
     return factors.gram_table(spark, gram).withColumn("value", F.round("value", 6))
 
@@ -103,12 +125,44 @@ def svd_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def svd_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A projection on all axes keeps the length of every row."""
-    words, vocabulary = inputs.words_and_vocabulary(spark, sf_dir, num_terms=GRAM_TERMS)
-    rows = tfidf.tfidf_rows(words, vocabulary)
-    found = factors.decompose(rows, len(vocabulary.terms), GRAM_TERMS)
+    rows, _, found = _decomposed(spark, sf_dir, inputs.NUM_TERMS)
     return _squared_norms(factors.project_rows(rows, found.right), "projection")
 
 
+def svd_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values and right vectors of all axes put together again: diagonal, sum and squared length of each row of the matrix of
+    column products."""
+    _, _, found = _decomposed(spark, sf_dir, inputs.NUM_TERMS)
+    gram = (found.right * found.values**2) @ found.right.T
+    rows = [(i, float(row[i]), float(row.sum()), float((row**2).sum())) for i, row in enumerate(gram)]
+    table = spark.createDataFrame(rows, "term_id INT, diagonal DOUBLE, total DOUBLE, squares DOUBLE")
+    return table.select("term_id", *[F.round(c, 6).alias(c) for c in ("diagonal", "total", "squares")])
+
+
+def _covariances(projected: DataFrame) -> DataFrame:
+    """What the covariances of the axes have to be: none between axes, falling on them, and the whole variance in two powers."""
+    pairs = F.flatten(F.transform("projection", lambda x, i: F.transform("projection", lambda y, j: F.struct(i.alias("i"), j.alias("j"), x.alias("x"), y.alias("y")))))
+    cov = projected.select(F.explode(pairs).alias("p")).groupBy("p.i", "p.j").agg(F.covar_samp("p.x", "p.y").alias("c"))
+    falling = F.array_sort(F.collect_list(F.when(F.col("i") == F.col("j"), F.struct("i", "c"))))["c"]
+    return cov.agg(
+        F.round(F.sum(F.when(F.col("i") == F.col("j"), F.col("c"))), 6).alias("variance"),
+        F.round(F.sum(F.col("c") * F.col("c")), 6).alias("squares"),
+        F.max(F.when(F.col("i") != F.col("j"), F.abs("c"))).alias("between"),
+        falling.alias("falling"),
+    ).select(
+        "variance", "squares", (F.col("between") < 1e-9).alias("uncorrelated"),
+        (F.array_sort("falling", lambda a, b: F.when(a > b, -1).when(a < b, 1).otherwise(0)) == F.col("falling")).alias("falling"),
+    )
+
+
+def pca_standardized_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _covariances(factors.principal_components(inputs.dense(spark, sf_dir), WIDTH)[1])
+
+
+def pca_raw_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _covariances(factors.principal_components(inputs.dense(spark, sf_dir), WIDTH, standardised=False)[1])
+
+
 def pca_standardized_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, projected = factors.principal_components(inputs.dense(spark, sf_dir), WIDTH)
     return _squared_norms(projected, "projection")
@@ -151,6 +205,19 @@ def kmeans_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.assign_classes(rows, clusters.fit_classes(rows)).select("doc_id", "class")
 
 
+def kmeans_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, by a model that was saved and loaded: whether its class is the nearest one by the means of the classes'
+    members, to within the tolerance at which the iteration ends."""
+    rows = inputs.dense(spark, sf_dir).select("doc_id", "vector", array_to_vector("vector").alias("row"))
+    path = scratch_path(spark, "kmeans")
+    word_vectors.save_model(clusters.fit_classes(rows), path)
+    stored = durable(clusters.assign_classes(rows, KMeansModel.load(path)).select("doc_id", "vector", "class"))
+    means = clusters.class_means(stored, "class", "vector", WIDTH)
+    measured = clusters.distances_to_centers(stored, means)
+    own = F.get("distances", F.col("class"))
+    return measured.select("doc_id", (F.sqrt(own) <= F.sqrt(F.array_min("distances")) + 2e-4).alias("nearest"))
+
+
 def _label_centers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[list[float]]]:
     dense = inputs.dense(spark, sf_dir)
     return dense.drop("class"), clusters.class_means(dense, "class", "vector", WIDTH)
@@ -242,7 +309,7 @@ def train_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     press_words = inputs.documents(spark, sf_dir).select(tok.tokens("text").alias("words"))
     clean = inputs.table(spark, sf_dir, "benchmark").select(tok.tokens("text").alias("words"))
     corpus = text.union_corpora(press_words, clean)
-    model = word_vectors.train_word_vectors(corpus, vector_size=20, partitions=8)
+    model = word_vectors.train_word_vectors(corpus, partitions=8)
     path = scratch_path(spark, "word_vectors")
     word_vectors.save_model(model, path)
     return word_vectors.load_word_vectors(path).select("word", F.size("vector").alias("width"))
@@ -251,10 +318,11 @@ def train_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        embed_tfidf, embed_weight1, embed_missing_vectors, embed_mean, concat_vectors, drop_zero_vectors, standardize,
-        column_summary, gram_matrix, svd_spectrum, svd_trace, svd_projection, svd_norms, pca_standardized,
+        embed_tfidf, embed_weight1, embed_missing_vectors, embed_mean, embed_tfidf_forms, embed_mean_forms, concat_vectors, drop_zero_vectors, standardize,
+        column_summary, gram_matrix, svd_spectrum, svd_trace, svd_projection, svd_norms, svd_reconstruction, pca_standardized,
+        pca_standardized_covariance, pca_raw_covariance,
         pca_standardized_norms, pca_raw, pca_raw_norms, project_loadings,
-        kmeans_lsa, kmeans_embed, assign_nearest, nearest_docs, nearest_docs_terms, class_top_terms,
+        kmeans_lsa, kmeans_embed, kmeans_settled, assign_nearest, nearest_docs, nearest_docs_terms, class_top_terms,
         concept_terms_docs, corpus_span, class_timeline, class_timeline_labelled, hexbin_counts, classes_in_space,
         classified_output, classified_csv, train_word_vectors,
     )
@@ -294,16 +362,34 @@ def _values(labels: dict) -> str:
     return ", ".join(f"('{k}', '{v}')" for k, v in labels.items())
 
 
-ORACLE = {
-    "embed_tfidf": f"{_centroid_sql('w')} {_ALL}",
-    "embed_weight1": f"{_centroid_sql('1.0')} {_ALL}",
-    "embed_missing_vectors": f"{_centroid_sql('w', NUM_TERMS_WIDE)} {_ALL}",
-    "embed_mean": f"""
+_GRAM = """sums AS (
+  SELECT a.term_id AS i, b.term_id AS j, sum(a.w * b.w) AS value
+  FROM tfidf a JOIN tfidf b USING (doc_id) GROUP BY a.term_id, b.term_id)"""
+
+_MEAN = f"""
 WITH {inputs.vocabulary_sql()}, {inputs.COMPONENTS_SQL},
 every AS (SELECT doc_id, unnest({inputs.TOKENS_SQL}) AS term FROM documents),
 kept AS (SELECT * FROM every WHERE length(term) >= 2 AND term NOT IN ({", ".join(f"'{w}'" for w in inputs.STOP_WORDS)}))
 SELECT k.doc_id, c.dim, round(avg(c.x), 6) + 0.0 AS x
-FROM kept k JOIN vocab v USING (term) JOIN comp c ON c.doc_id = v.term_id GROUP BY k.doc_id, c.dim""",
+FROM kept k JOIN vocab v USING (term) JOIN comp c ON c.doc_id = v.term_id GROUP BY k.doc_id, c.dim"""
+
+
+def _forms_sql(sql: str) -> str:
+    return f"SELECT form, doc_id, dim, x FROM ({sql}) CROSS JOIN (VALUES ('row'), ('join')) f(form) CROSS JOIN range(2)"
+
+
+def _covariance_sql(of: str) -> str:
+    return f"""
+WITH {inputs.COMPONENTS_SQL},
+pairs AS (SELECT a.dim AS i, b.dim AS j, {of}(a.x, b.x) AS c FROM comp a JOIN comp b USING (doc_id) GROUP BY a.dim, b.dim)
+SELECT round(sum(c) FILTER (i = j), 6) AS variance, round(sum(c * c), 6) AS squares, true AS uncorrelated, true AS falling FROM pairs"""
+
+
+ORACLE = {
+    "embed_tfidf": f"{_centroid_sql('w')} {_ALL}",
+    "embed_weight1": f"{_centroid_sql('1.0')} {_ALL}",
+    "embed_missing_vectors": f"{_centroid_sql('w', NUM_TERMS_WIDE)} {_ALL}",
+    "embed_mean": _MEAN,
     "concat_vectors": f"""
 WITH {inputs.COMPONENTS_SQL}
 SELECT doc_id, dim, round(x, 6) + 0.0 AS x FROM comp
@@ -321,10 +407,8 @@ SELECT dim, count(*) FILTER (x <> 0) AS nonzeros, round(avg(x), 6) + 0.0 AS mean
        round(sqrt(sum(x * x)), 6) AS norm_l2
 FROM comp GROUP BY dim""",
     "gram_matrix": f"""
-WITH {inputs.tfidf_sql(GRAM_TERMS)},
-sums AS (
-  SELECT a.term_id AS i, b.term_id AS j, sum(a.w * b.w) AS value
-  FROM tfidf a JOIN tfidf b USING (doc_id) GROUP BY a.term_id, b.term_id)
+WITH {inputs.tfidf_sql()},
+{_GRAM}
 SELECT a.term_id AS i, b.term_id AS j, round(coalesce(value, 0.0), 6) AS value
 FROM vocab a CROSS JOIN vocab b LEFT JOIN sums ON sums.i = a.term_id AND sums.j = b.term_id""",
     "project_loadings": f"""
@@ -335,8 +419,18 @@ SELECT doc_id, axis, round(sum(x * loads[axis + 1]), 6) + 0.0 AS x
 FROM comp JOIN stats USING (dim) CROSS JOIN axes GROUP BY doc_id, axis""",
     "svd_trace": f"WITH {inputs.tfidf_sql()} SELECT round(sum(w * w), 6) AS trace FROM tfidf",
     "svd_norms": f"""
-WITH {inputs.tfidf_sql(GRAM_TERMS)}, norms AS (SELECT doc_id, sum(w * w) AS norm FROM tfidf GROUP BY doc_id)
+WITH {inputs.tfidf_sql()}, norms AS (SELECT doc_id, sum(w * w) AS norm FROM tfidf GROUP BY doc_id)
 SELECT doc_id, round(coalesce(norm, 0.0), 6) AS norm FROM documents LEFT JOIN norms USING (doc_id)""",
+    "svd_reconstruction": f"""
+WITH {inputs.tfidf_sql()},
+{_GRAM}
+SELECT i AS term_id, round(sum(value) FILTER (i = j), 6) AS diagonal, round(sum(value), 6) AS total, round(sum(value * value), 6) AS squares
+FROM sums GROUP BY i""",
+    "pca_standardized_covariance": _covariance_sql("corr"),
+    "pca_raw_covariance": _covariance_sql("covar_samp"),
+    "kmeans_settled": "SELECT vec_id AS doc_id, true AS nearest FROM embeddings",
+    "embed_tfidf_forms": _forms_sql(f"{_centroid_sql('w')} {_ALL}"),
+    "embed_mean_forms": _forms_sql(_MEAN),
     "pca_standardized_norms": f"""
 WITH {inputs.COMPONENTS_SQL},
 stats AS (SELECT dim, avg(x) AS m, stddev_samp(x) AS s FROM comp GROUP BY dim)
@@ -397,7 +491,7 @@ FROM embeddings e LEFT JOIN labels ON labels.class = CAST(e.label AS VARCHAR)"""
 SELECT doc_id, date_trunc('second', ts) AS date, quality AS class
 FROM documents JOIN events ON event_id = doc_id JOIN labels USING (doc_id)""",
     "train_word_vectors": f"""
-SELECT word, 20 AS width
+SELECT word, 100 AS width
 FROM (SELECT unnest({inputs.TOKENS_SQL}) AS word FROM documents UNION ALL SELECT unnest({inputs.TOKENS_SQL}) FROM benchmark)
 GROUP BY word HAVING count(*) >= 5""",
     "classified_output": """

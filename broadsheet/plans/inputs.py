@@ -11,8 +11,8 @@ from broadsheet.functions.tokens import tokens, usable
 from broadsheet.operators.lemmas import document_words
 from broadsheet.operators.vocabulary import Vocabulary, build_vocabulary
 
-NUM_TERMS = 400
-NUM_TERMS_WIDE = 600  # more terms than there are vectors at the smaller scales, so look-ups miss
+NUM_TERMS = 1000
+NUM_TERMS_WIDE = 1500  # more terms than there are vectors at the smaller scales, so look-ups miss
 WIDTH = 64
 
 # Function words of the four languages of the test documents.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from broadsheet.functions import tokens as tok
 from broadsheet.functions.rows import unnest
 from broadsheet.functions.sizing import spread_out
 from broadsheet.operators import lemmas, tfidf, vocabulary
-from broadsheet.plans import inputs
+from broadsheet.plans import inputs, press
 from broadsheet.session import scratch_path
 from broadsheet.sources import articles as xml
 from broadsheet.sources import tables, text
@@ -136,6 +138,41 @@ def lemma_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lemma.groupBy("lemma").agg(F.count("*").alias("n"))
 
 
+def lemma_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary looked up in the row and joined, every document twice under the same id."""
+    docs = inputs.documents(spark, sf_dir)
+    words = docs.unionByName(docs).select("doc_id", tok.tokens("text").alias("words"))
+    forms = {"row": lemmas.MAX_DICTIONARY, "join": 0}
+    found = [lemmas.lemmatise(words, _dictionary(spark, sf_dir), most).withColumn("form", F.lit(form)) for form, most in forms.items()]
+    digest = F.md5(tok.rejoin("words")).alias("digest")
+    return found[0].unionByName(found[1]).select("form", "doc_id", F.size("words").alias("n"), digest)
+
+
+def press_job_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job in TF-IDF mode with a lemmatiser of the user's own, here the first five letters of a word: the document
+    frequencies that it writes."""
+
+    def make_lemmatiser():
+        return lambda body: [word[:5] for word in re.findall("[a-z0-9_]+", body.lower(), re.ASCII)]
+
+    articles, stop, out = (scratch_path(spark, name) for name in ("articles", "stop_words", "job"))
+    xml.write_articles(_press(spark, sf_dir), articles)
+    tables.write_text(spark.createDataFrame([(w,) for w in inputs.STOP_WORDS], "word STRING"), stop)
+    written = press.press_job(spark, articles, stop, out, mode="tfidf", make_lemmatiser=make_lemmatiser)
+    return spark.read.schema("term STRING, df BIGINT").csv(written["document_frequencies"], sep="\t")
+
+
+def press_job_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in word-vector mode with a model trained on the documents: which documents the job writes, with their dates."""
+    articles, stop, out, corpus, model = (scratch_path(spark, name) for name in ("articles", "stop_words", "job", "corpus", "model"))
+    xml.write_articles(_press(spark, sf_dir), articles)
+    tables.write_text(spark.createDataFrame([(w,) for w in inputs.STOP_WORDS], "word STRING"), stop)
+    tables.write_text(inputs.table(spark, sf_dir, "benchmark").select(tok.rejoin(tok.tokens("text")).alias("line")), corpus)
+    press.training_job(spark, articles, corpus, model, partitions=8)
+    written = press.press_job(spark, articles, stop, out, mode="word_vectors", model_path=model)
+    return tables.read_classified(spark, written["classified"]).select("doc_id", "date", F.col("class").between(0, 9).alias("classed"))
+
+
 def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf.term_counts(inputs.words(spark, sf_dir))
 
@@ -197,7 +234,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         tokenize_counts, extract_article_xml, article_titles, raw_record_fields, article_errors, malformed_articles, full_text,
-        clean_markup, clean_wiki_dump, stopword_filter, lemma_dictionary, term_counts, doc_frequencies,
+        clean_markup, clean_wiki_dump, stopword_filter, lemma_dictionary, lemma_forms, press_job_frequencies, press_job_classified, term_counts, doc_frequencies,
         document_frequencies_file, idf_table,
         tfidf_long, tfidf_vectors, corpus_terms, doc_top_terms, sample_scan, union_corpora,
     )
@@ -270,6 +307,24 @@ lemmas AS (
   FROM (SELECT unnest({_TOKENS}) AS form FROM documents) LEFT JOIN dict USING (form))
 SELECT lemma, count(*) AS n FROM lemmas
 WHERE length(lemma) >= 3 AND regexp_matches(lemma, '^\p{{L}}+$') GROUP BY lemma""",
+    "lemma_forms": f"""
+WITH bench AS (SELECT DISTINCT unnest({_TOKENS}) AS word FROM benchmark),
+dict AS (
+  SELECT word AS form, left(word, -1) AS lemma FROM bench
+  WHERE word LIKE '%s' AND left(word, -1) IN (SELECT word FROM bench)),
+found AS (
+  SELECT doc_id, CAST(count(form) AS INTEGER) AS n, md5(coalesce(string_agg(coalesce(lemma, form), ' ' ORDER BY place), '')) AS digest
+  FROM documents LEFT JOIN (
+    SELECT doc_id, unnest({_TOKENS}) AS form, generate_subscripts({_TOKENS}, 1) AS place FROM documents) USING (doc_id) LEFT JOIN dict USING (form)
+  GROUP BY doc_id)
+SELECT form, doc_id, n, digest FROM found CROSS JOIN (VALUES ('row'), ('join')) f(form) CROSS JOIN range(2)""",
+    "press_job_frequencies": rf"""
+WITH every AS (SELECT doc_id, left(unnest({_TOKENS}), 5) AS term FROM documents),
+dfs AS (
+  SELECT term, count(DISTINCT doc_id) AS df FROM every
+  WHERE length(term) >= 3 AND regexp_matches(term, '^\p{{L}}+$') AND term NOT IN ({", ".join(f"'{w}'" for w in inputs.STOP_WORDS)}) GROUP BY term)
+SELECT term, df FROM dfs ORDER BY df DESC, term LIMIT {inputs.NUM_TERMS}""".replace("\\\\", "\\"),
+    "press_job_classified": f"WITH {_PRESS} SELECT doc_id, date, true AS classed FROM press",
     "term_counts": f"""
 WITH {inputs.WORDS_SQL}
 SELECT doc_id, term, count(*) AS f FROM (SELECT doc_id, unnest(words) AS term FROM words) GROUP BY doc_id, term""",

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, app_name: str = "broadsheet") -> SparkSession:
@@ -31,7 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
@@ -40,6 +42,11 @@ def shared_folder(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
+    """``df`` with a number of its own for every row, stored so that all uses see the same numbers."""
+    return durable(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
