@@ -32,7 +32,8 @@ def document_length() -> Column:
 
 
 def count_rows(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Adds ``n`` and the sparse vector ``counts``; ``words`` is dropped."""
+    """Adds ``n`` and the sparse vector ``counts``; ``words`` is dropped. No words (null) count as an empty list."""
+    documents = documents.withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
     model = CountVectorizerModel.from_vocabulary(vocabulary.terms, inputCol="words", outputCol="counts", minTF=1.0)
     return model.transform(documents).withColumn("n", document_length()).drop("words")
 

@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import Word2VecModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from broadsheet.operators import centroids, clusters, concepts, factors, tfidf, vocabulary
@@ -198,3 +199,28 @@ def test_word_vector_training_and_loading(spark, tmp_path):
     assert sorted(r.word for r in table.collect()) == ["a", "b", "c"]
     assert all(len(r.vector) == 3 for r in table.collect())
     assert isinstance(Word2VecModel.load(str(tmp_path / "w")), Word2VecModel)
+
+
+def test_wide_matrices_decompose_as_narrow_ones(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    matrix = rng.random((40, 9))
+    rows = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(matrix.tolist())], ["doc_id", "row"])
+    narrow = factors.decompose(rows, 9, 4)
+    monkeypatch.setattr(factors, "MAX_COLUMNS", 8)
+    wide = factors.decompose(rows, 9, 4)
+    assert np.allclose(wide.values, np.linalg.svd(matrix)[1][:4]) and np.allclose(wide.right, narrow.right, atol=1e-6)
+    projected = {r.doc_id: r.projection for r in factors.project_rows(rows, wide.right).collect()}
+    assert np.allclose([projected[i] for i in range(40)], matrix @ narrow.right, atol=1e-6)
+
+
+@pytest.mark.parametrize("most_bytes", [1 << 20, 0])
+def test_both_forms_of_centroids_keep_rows_apart(spark, most_bytes):
+    rows = [(1, ["cats"]), (1, ["sat"]), (None, ["cats", "sat"]), (2, []), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, words array<string>")
+    vectors = spark.createDataFrame([("cats", [1.0, 0.0]), ("cats", [3.0, 0.0]), ("sat", [0.0, 2.0]), (None, [9.0, 9.0])], "word string, vector array<double>")
+    expected = sorted(map(str, [(1, [1.0, 0.0]), (1, [0.0, 2.0]), (None, [0.5, 1.0]), (2, [0.0, 0.0]), (3, [0.0, 0.0])]))
+    means = centroids.plain_means(docs, vectors, 2, drop_zero=False, most_bytes=most_bytes).collect()
+    assert sorted(str((r.doc_id, r.vector)) for r in means) == expected
+    known = vocabulary.Vocabulary(["cats", "sat"], [1, 1], 2)
+    weighted = centroids.weighted_centroids(docs, known, vectors, 2, "one", most_bytes).collect()
+    assert sorted(str((r.doc_id, r.vector)) for r in weighted) == expected

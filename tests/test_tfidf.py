@@ -137,3 +137,14 @@ def test_own_lemmatiser_is_set_up_once_per_task(spark):
     got = {r.doc_id: r.words for r in lemmas.lemmatise_with(docs, make, ["the"]).collect()}
     assert got[0] == ["run", "calll"] and got[19] == ["run" + "n" * 19, "call" + "l" * 20]
     assert got[20] == ["call" + "l" * 21]
+
+
+@pytest.mark.parametrize("most", [lemmas.MAX_DICTIONARY, 0])
+def test_both_forms_of_the_dictionary_keep_rows_apart(spark, most):
+    docs = spark.createDataFrame([(1, ["cats"]), (1, ["sat", None, "cats"]), (None, ["sat"]), (2, []), (3, None)], "doc_id bigint, words array<string>")
+    table = spark.createDataFrame([("cats", "kitten"), ("cats", "cat"), (None, "x"), ("sat", None)], "form string, lemma string")
+    found = lemmas.lemmatise(docs, table, most)
+    assert found.columns == docs.columns
+    assert sorted(str((r.doc_id, r.words)) for r in found.collect()) == sorted(
+        map(str, [(1, ["cat"]), (1, ["sat", "cat"]), (None, ["sat"]), (2, []), (3, [])])
+    )
