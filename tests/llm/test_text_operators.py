@@ -147,6 +147,25 @@ def test_frequent_lines_of_one_host_reject_a_document(spark):
     assert quality_rules.judge(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("table_lines", [100, 0])
+def test_lines_above_the_limit_leave_the_text(spark, table_lines):
+    own = lambda i: f"line {i} of its own\n\n second of {i}"
+    rows = [(i, f"{own(i)}\n  Common\tLINE \nend {i}", "hot") for i in range(30)] + [(i, own(i), "hot") for i in range(30, 35)]
+    rows += [(40, own(40) + "\ncommon line", None), (41, "common line", "cold"), (42, None, "hot"), (43, "COMMON line", "hot"), (0, "common line\nother", "hot"), (0, "common line\nelse", "cold")]
+    rows += [(None, f"null {i}\ncommon line", "hot") for i in range(3)]
+    docs = docs_of(spark, rows).selectExpr("*", "1 AS row", "2 AS found", "3 AS h1")
+    out, name = quality_rules.clean(docs, table_lines=table_lines)
+    got = out.collect()
+    assert out.columns == [*docs.columns, name] and all((r.row, r.found, r.h1) == (1, 2, 3) for r in got)
+
+    def left(text, source):
+        return text if text is None or source != "hot" else "\n".join(x for x in text.split("\n") if x.lower().split() != ["common", "line"])
+
+    assert sorted(map(str, ((r.doc_id, r.text, r.source) for r in got))) == sorted(str((i, left(t, s), s)) for i, t, s in rows)
+    assert all(r[name].n_words - r[name].n_line_words == len((r.text or "").split()) for r in got)
+    assert sum(r[name].n_line_words for r in got) == 2 * 35
+
+
 # extraction
 
 
