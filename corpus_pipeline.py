@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm import decontaminate, jaccard_join, line_dedup, mixing, toxicity
 from broadsheet.llm.samples import fold
-from broadsheet.session import durable
+from broadsheet.session import durable, numbered
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -32,11 +32,16 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group; repeated rows stay once, documents without words or id all stay."""
-    groups = jaccard_join.similar_components(docs.select("doc_id", "text"))
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    chosen = docs.select(*COLUMNS).join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return chosen.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    """One row of each group, that of the smallest id, rows without id last; ids may repeat. Without words, rows of one id
+    and text stay once and rows without id all stay."""
+    rows = numbered(docs.select(*COLUMNS), "_row")
+    worded = F.coalesce("text", F.lit("")).rlike(r"[^ \t-\r]")
+    groups = jaccard_join.similar_components(rows.where(worded).select(F.col("_row").alias("doc_id"), "text"))
+    members = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("x"))
+    chosen = rows.join(first.select("x._row"), "_row", "left_semi").select(*COLUMNS)
+    blank = rows.where(~worded).select(*COLUMNS)
+    return chosen.unionByName(blank.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])).unionByName(blank.where("doc_id IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

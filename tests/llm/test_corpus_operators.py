@@ -215,6 +215,19 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted(str(r.doc_id) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == ids["mixing"]
 
 
+def test_near_duplicates_under_repeated_and_null_ids(spark):
+    rng = random.Random(5)
+    a, b, c, d = (" ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(80)) for _ in range(4))
+    rows = [(5, a), (5, b + " end"), (3, b), (7, c), (7, c + " end"), (7, c), (None, a), (None, d), (None, d + " end"), (8, " \t"), (8, " \t"), (9, None), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    blank = [x for x in out if not (x[1] or "").strip()]
+    assert sorted(map(str, blank)) == sorted(map(str, [(8, " \t"), (9, None), (None, ""), (None, "")]))
+    full = [x for x in out if x not in blank]
+    assert len(full) == 4 and {(5, a), (3, b)} < set(full)
+    assert sum(i == 7 for i, _ in full) == 1 and [t[: len(d)] for i, t in full if i is None] == [d]
+
+
 def test_folds_of_ids(spark):
     import zlib
 
