@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -37,10 +38,12 @@ def gram_matrix(df: DataFrame, width: int, vector: str = "row") -> np.ndarray:
 
 
 def gram_table(spark: SparkSession, gram: np.ndarray) -> DataFrame:
-    """``(i, j, value)`` of the square matrix."""
+    """``(i, j, value)`` of the square matrix, which leaves the driver as one array per row."""
     size = len(gram)
-    rows = [(i, j, float(gram[i, j])) for i in range(size) for j in range(size)]
-    return spark.createDataFrame(rows, "i INT, j INT, value DOUBLE")
+    starts = np.arange(size + 1, dtype=np.int32) * size
+    values = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.ascontiguousarray(gram, np.float64).ravel()))
+    rows = spark.createDataFrame(pa.table({"i": np.arange(size, dtype=np.int32), "row": values}), "i INT, row ARRAY<DOUBLE>")
+    return rows.select("i", F.posexplode("row").alias("j", "value"))
 
 
 @dataclass(frozen=True)

@@ -224,3 +224,17 @@ def test_both_forms_of_centroids_keep_rows_apart(spark, most_bytes):
     known = vocabulary.Vocabulary(["cats", "sat"], [1, 1], 2)
     weighted = centroids.weighted_centroids(docs, known, vectors, 2, "one", most_bytes).collect()
     assert sorted(str((r.doc_id, r.vector)) for r in weighted) == expected
+
+
+def test_square_matrix_leaves_the_driver_by_rows(spark):
+    gram, sent = np.arange(12.0).reshape(4, 3)[:3] / 7, []
+
+    class Session:
+        def createDataFrame(self, data, schema):
+            sent.append(len(data))
+            return spark.createDataFrame(data, schema)
+
+    table = factors.gram_table(Session(), gram)
+    assert sent == [3] and table.dtypes == [("i", "int"), ("j", "int"), ("value", "double")]
+    assert sorted(map(tuple, table.collect())) == [(i, j, gram[i, j]) for i in range(3) for j in range(3)]
+    assert factors.gram_table(spark, np.zeros((0, 0))).count() == 0
