@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chat_format, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_gam, quality_rules, toxicity, url_filter
+from broadsheet.llm import bpe, chat_format, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_gam, quality_rules, toxicity, url_filter
 from broadsheet.llm.samples import fold
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -92,7 +92,16 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op4_url_filter, op5_mixing, op6_jaccard_join, op7_toxicity, op8_quality_rules, op9_html_extract, op10_quality_gam)}
+def op11_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.json") -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = bpe.Tokenizer.load(public_tokenizers.path(vocabulary))
+    out, name = bpe.encode_texts(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer)
+    out, decoded = bpe.decode_ids(out.select("doc_id", F.col(name)["n_tokens"].alias("n_tokens"), F.col(name)["ids"].alias("ids")), tokenizer)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col(decoded)["text"], 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op4_url_filter, op5_mixing, op6_jaccard_join, op7_toxicity, op8_quality_rules, op9_html_extract, op10_quality_gam, op11_bpe)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +18,20 @@ SLICE_ROWS = 512
 HEAVY_KEYS = 1024
 
 
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcasts an object of bounded size with the classes it is made of, so that workers need not have this package; the
+    function returned gives it in a task, where it is read once."""
+    box = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    opened: list = []
+
+    def get() -> Any:
+        if not opened:
+            opened.append(pickle.loads(box.value))
+        return opened[0]
+
+    return get
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Batches in pieces of few rows, so that what Python makes of the texts stays small."""
     for batch in batches:
