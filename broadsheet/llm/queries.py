@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, chat_format, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_gam, quality_rules, toxicity, url_filter
+from broadsheet.llm import bpe, chat_format, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_gam, quality_rules, spelling, toxicity, url_filter, whitening
 from broadsheet.llm.samples import fold
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -101,7 +103,33 @@ def op11_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.j
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col(decoded)["text"], 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op4_url_filter, op5_mixing, op6_jaccard_join, op7_toxicity, op8_quality_rules, op9_html_extract, op10_quality_gam, op11_bpe)}
+def slipped(doc_id: str, word: str) -> str:
+    """The run with one letter left out where the checksum of document and run says so."""
+    mark = zlib.crc32(f"{doc_id}:{word}".encode())
+    at = mark % len(word)
+    return word if mark % 31 else word[:at] + word[at + 1 :]
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(table(spark, sf_dir, "documents", "doc_id", "text"), "text", "doc_id", slipped)
+    return spelling.variants(counts).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, whole, width = whitening.whole_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "embedding")
+    rows = rows.select("vec_id", whole)
+    model = whitening.fit_whitening(rows, whole, width)
+    out, name = whitening.whiten(rows, whole, width, model)
+    shares = (model.values / model.trace).tolist() if model and model.trace else []
+    out = out.select("vec_id", F.col(name)["deviation"].alias("deviation"), F.posexplode(F.col(name)["whitened"]).alias("at", "whitened"))
+    explained = F.get(F.array(*map(F.lit, shares)).cast("array<double>"), F.col("at"))
+    return out.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.centre.n if model else 0).cast("bigint").alias("n"), "deviation", "whitened",
+        explained.alias("explained"), F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_line_dedup, op4_url_filter, op5_mixing, op6_jaccard_join, op7_toxicity, op8_quality_rules, op9_html_extract, op10_quality_gam, op11_bpe, op12_spelling, op13_whitening)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
@@ -196,4 +224,35 @@ FROM ruled JOIN bound USING (host)""".replace(
         "{rho}",
         "least(0.5, greatest(0.001, round(coalesce((sum(pow(good - n * m, 2) / (m * (1 - m))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.001), 9)))",
     ),
+    "op12_spelling": rf"""WITH RECURSIVE table_ AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+runs AS (
+  SELECT doc_id, r, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r AS s
+  FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{_UPPER}', '{_LOWER}') AS r FROM documents)
+  WHERE length(r) >= 7 GROUP BY doc_id, r),
+marks AS (
+  SELECT r, n, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(s, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END))),
+    lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]))) AS h
+  FROM runs, table_),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 31 = 0 THEN left(r, CAST(h % length(r) AS INT)) || substr(r, CAST(h % length(r) AS INT) + 2) ELSE r END AS word FROM marks)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+holes AS (SELECT word, n, p, left(word, p) AS a, substr(word, p + 2) AS b FROM (SELECT word, n, CAST(unnest(range(length(word))) AS INT) AS p FROM words)),
+shorter AS (SELECT DISTINCT word, n, a || b AS rest FROM holes),
+near AS (
+  SELECT x.word, x.n, y.word AS other, y.n AS other_n FROM holes x JOIN holes y ON x.p = y.p AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION ALL SELECT x.word, x.n, y.word, y.n FROM shorter x JOIN words y ON x.rest = y.word
+  UNION ALL SELECT y.word, y.n, x.word, x.n FROM shorter x JOIN words y ON x.rest = y.word),
+best AS (
+  SELECT word, n, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n FROM near GROUP BY word, n),
+links AS (SELECT word, form, form_n FROM best WHERE form_n >= 10 * n),
+walk AS (
+  SELECT word, form AS root, 1 AS steps FROM links
+  UNION ALL SELECT w.word, l.form, w.steps + 1 FROM walk w JOIN links l ON w.root = l.word),
+roots AS (SELECT word, arg_max(root, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, words.n, coalesce(n_near, 0) AS n_near, form_n
+FROM words LEFT JOIN (SELECT word, n_near FROM best) USING (word) LEFT JOIN links USING (word) LEFT JOIN roots USING (word)""",
 }
