@@ -28,6 +28,8 @@ def normal(frame: pd.DataFrame) -> pd.DataFrame:
     for column in frame.columns:
         if pd.api.types.is_datetime64_any_dtype(frame[column]):
             frame[column] = frame[column].astype("datetime64[us]")
+        elif str(frame[column].dtype) == "Int64" and frame[column].isna().any():
+            frame[column] = frame[column].astype(float)  # as Spark gives whole numbers with nulls
     return frame.sort_values(list(frame.columns), ignore_index=True)
 
 
