@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.rows import as_bytes, slices, with_struct
+from broadsheet.llm.rows import as_bytes, shared, slices, with_struct
 from broadsheet.session import durable
 
 WINDOW = 13
@@ -160,11 +160,12 @@ class Windows:
                 found[one].add(win)
 
 
-def _shingle_counts(docs: DataFrame, shared) -> dict[int, np.ndarray]:
+def _shingle_counts(docs: DataFrame, block: Windows) -> dict[int, np.ndarray]:
     """Occurrences over all documents of each shingle of the block."""
+    get = shared(docs.sparkSession, block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows: Windows = shared.value
+        windows = get()
         total = {k: np.zeros(len(keys), np.int64) for k, keys in windows.keys.items()}
         for piece in slices(batches):
             ids, _, _ = windows.number(as_bytes(piece.column(0)))
@@ -178,7 +179,7 @@ def _shingle_counts(docs: DataFrame, shared) -> dict[int, np.ndarray]:
                 [pa.array(np.full(len(at), k), pa.int32()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["k", "at", "n"]
             )
 
-    out = {k: np.zeros(len(keys), np.int64) for k, keys in shared.value.keys.items()}
+    out = {k: np.zeros(len(keys), np.int64) for k, keys in block.keys.items()}
     counted = docs.select("text").mapInArrow(run, "k int, at bigint, n bigint").groupBy("k", "at").agg(F.sum("n").alias("n"))
     for r in counted.toLocalIterator():  # no more rows than the block has shingles
         out[r.k][r["at"]] = r.n
@@ -215,24 +216,21 @@ def _windows(items: DataFrame, window: int, shingle: int) -> Windows:
 
 
 def _one_block(docs: DataFrame, items: DataFrame, window: int, shingle: int, fields: str) -> tuple[DataFrame, str]:
-    context = docs.sparkSession.sparkContext
     windows = _windows(items, window, shingle)
-    windows.choose(_shingle_counts(docs, context.broadcast(windows)))
-    shared = context.broadcast(windows)
-    return with_struct(docs, "text", fields, lambda texts: shared.value.match(texts))
+    windows.choose(_shingle_counts(docs, windows))
+    get = shared(docs.sparkSession, windows)
+    return with_struct(docs, "text", fields, lambda texts: get().match(texts))
 
 
 def _many_blocks(docs, items, blocks, window, shingle, ratio) -> tuple[DataFrame, str]:
     """The hit places of each block are joined into those of the blocks before, one stored pass per block."""
-    context = docs.sparkSession.sparkContext
     out, name = with_struct(docs, "text", "struct<places: array<bigint>, items: array<bigint>>", lambda t: [[[]] * len(t), [[]] * len(t)])
     for block in range(blocks):
         windows = _windows(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block), window, shingle)
-        windows.choose(_shingle_counts(docs, context.broadcast(windows)))
-        shared = context.broadcast(windows)
+        windows.choose(_shingle_counts(docs, windows))
 
-        def hits(texts: list[bytes], shared=shared) -> list[list]:
-            return shared.value.hits(texts)
+        def hits(texts: list[bytes], get=shared(docs.sparkSession, windows)) -> list[list]:
+            return get().hits(texts)
 
         more, extra = with_struct(out, "text", "struct<places: array<bigint>, items: array<bigint>>", hits, "more")
         merged = F.struct(

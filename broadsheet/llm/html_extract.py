@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.rows import as_bytes, slices
+from broadsheet.llm.rows import as_bytes, shared, slices
 
 MAX_PAGES = 2000  # labelled pages that the potentials are counted on, at the utmost
 PRIOR = 40.0  # what one entry of the prior is worth in nodes
@@ -297,11 +297,12 @@ def extract_text(pages: DataFrame, potentials: Potentials) -> DataFrame:
     Null, empty and text-free pages give an empty text. Character references are decoded; white space inside a block is one
     blank. Pages of any length are read whole; repeated rows are extracted each.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(potentials)
+    get = shared(pages.sparkSession, potentials)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        extract = get().extract
         for piece in slices(batches, 256):
-            texts = [shared.value.extract(x.decode("utf-8", "replace")) for x in as_bytes(piece.column(2))]
+            texts = [extract(x.decode("utf-8", "replace")) for x in as_bytes(piece.column(2))]
             yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return pages.select("page_id", "url", "html").mapInArrow(run, "page_id bigint, url string, text string")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from broadsheet.llm.quality_rules import base_figures
-from broadsheet.llm.rows import as_bytes, slices, with_struct
+from broadsheet.llm.rows import as_bytes, shared, slices, with_struct
 from broadsheet.llm.samples import labelled_sample
 
 MAX_TRAIN = 20_000  # labelled documents that the model is fitted on, at the utmost
@@ -175,9 +175,9 @@ def score(docs: DataFrame, model: Additive) -> tuple[DataFrame, str]:
 
     Null counts as empty; an empty text is scored by figures of zero.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    get = shared(docs.sparkSession, model)
 
     def scores(texts: list[bytes]) -> list[list]:
-        return [shared.value.scores(np.array([figures(t) for t in texts]).reshape(len(texts), len(FEATURES))).tolist()]
+        return [get().scores(np.array([figures(t) for t in texts]).reshape(len(texts), len(FEATURES))).tolist()]
 
     return with_struct(docs, "text", "struct<score: double>", scores)

@@ -15,9 +15,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, u
     """``(doc_id, text, y)`` for at most ``most`` labelled documents, those of the smallest hashes.
 
     ``usable`` is a condition on the labels' ``doc_id``. The sampled ids, ``most`` at the utmost, are broadcast. Null labels
-    and ids do not count; a document labelled twice takes the larger label.
+    and ids do not count; a document labelled twice takes the larger label, and an id with several texts the smallest of them.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(usable)
     ids = known.groupBy("doc_id").agg(F.max(F.col(label)).cast("int").alias("y"))
     picked = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))

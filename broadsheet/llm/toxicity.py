@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.decontaminate import words_of
-from broadsheet.llm.rows import as_bytes, slices, with_struct
+from broadsheet.llm.rows import as_bytes, shared, slices, with_struct
 from broadsheet.llm.samples import labelled_sample
 from broadsheet.session import durable
 
@@ -205,10 +205,11 @@ def score(docs: DataFrame, model: Model) -> tuple[DataFrame, str]:
 
     Null and empty texts get the score of a text without known words. Whole texts of any length are read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    get = shared(docs.sparkSession, model)
     cache: dict[bytes, tuple[int, ...]] = {}
 
     def scores(texts: list[bytes]) -> list[list]:
-        return [[shared.value.score(t, cache) for t in texts]]
+        model = get()
+        return [[model.score(t, cache) for t in texts]]
 
     return with_struct(docs, "text", "struct<score: double>", scores)
