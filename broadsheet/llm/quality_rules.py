@@ -23,8 +23,7 @@ SYMBOLS = b"#*$%&|<>"  # fixed values: the characters that count as symbols
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words in repeated windows
 WINDOW = 3
-LEAST_DOCUMENTS = 20  # a line of fewer documents of a host is never above the limit
-SHARE = 0.01  # of the host's documents
+LEAST_DOCUMENTS = 3  # of one host that hold a line put it above the limit, whatever the size of the host
 LEAST_LEFT = 0.3  # of a document's words
 TABLE_LINES = 100_000  # so many lines above the limit go to every task
 LINE = ["host", "h1", "h2"]
@@ -118,23 +117,20 @@ def _rewrite(rows: DataFrame, columns: list[str], drops: Callable[[pa.RecordBatc
 
 
 def clean(
-    docs: DataFrame, host: str = "source", least_documents: int = LEAST_DOCUMENTS, share: float = SHARE, least_left: float = LEAST_LEFT,
-    table_lines: int = TABLE_LINES,
+    docs: DataFrame, host: str = "source", least_documents: int = LEAST_DOCUMENTS, least_left: float = LEAST_LEFT, table_lines: int = TABLE_LINES
 ) -> tuple[DataFrame, str]:
     """All columns of ``docs`` with the lines above the limit taken out of ``text``, and one struct column
     ``(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_line_words, base_failed, kept)``, whose name is returned.
 
-    A line is above the limit when at least ``least_documents`` documents of the host hold it and they are more than
-    ``share`` of the host's documents. ``n_line_words`` counts the words taken out with such lines, all other figures are
+    A line is above the limit when at least ``least_documents`` documents of the host hold it. ``n_line_words`` counts the words taken out with such lines, all other figures are
     those of the text before; a document that keeps less than ``least_left`` of its words is rejected. Null text has no
     words, fails, and stays null. A null host is a host of its own; rows of one id count as one document, rows without id as
     one. One result row per row, rejected ones included.
     """
     keyed = docs.select("doc_id", _host_key(host).alias("host"), "text")
-    sizes = keyed.select("host", "doc_id").distinct().groupBy("host").agg(F.count("*").alias("n_host"))
     held = _lines(keyed, "doc_id").groupBy(*LINE, "doc_id").agg(F.count("*").alias("n"))
-    counted = held.groupBy(*LINE).agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_rows")).where(F.col("n_docs") >= least_documents)
-    above = durable(counted.join(sizes, "host").where(F.col("n_docs") > share * F.col("n_host")).select(*LINE, "n_rows"))
+    counted = held.groupBy(*LINE).agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_rows"))
+    above = durable(counted.where(F.col("n_docs") >= least_documents).select(*LINE, "n_rows"))
     name, row, at = fresh_name(docs.columns, "found"), fresh_name(docs.columns, "row"), len(docs.columns)
     few = above.limit(table_lines + 1).collect()
     if len(few) <= table_lines:
@@ -160,9 +156,7 @@ def clean(
     return out.withColumn(name, F.struct(*[x[f].alias(f) for f in FIGURES], failed.alias("base_failed"), (~failed & ~depleted).alias("kept"))), name
 
 
-def judge(
-    docs: DataFrame, host: str = "source", least_documents: int = LEAST_DOCUMENTS, share: float = SHARE, least_left: float = LEAST_LEFT
-) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", least_documents: int = LEAST_DOCUMENTS, least_left: float = LEAST_LEFT) -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_line_words, kept)`` of ``clean``."""
-    out, name = clean(docs.select("doc_id", F.col(host).alias("host"), "text"), "host", least_documents, share, least_left)
+    out, name = clean(docs.select("doc_id", F.col(host).alias("host"), "text"), "host", least_documents, least_left)
     return out.select("doc_id", *[F.col(name)[f].alias(f) for f in (*FIGURES[:-1], "base_failed", "n_line_words", "kept")])

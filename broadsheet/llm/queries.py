@@ -181,10 +181,7 @@ lines AS (
   FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d)),
 full_lines AS (SELECT doc_id, source, line, array_to_string(lw, ' ') AS k, len(lw) AS n FROM lines WHERE len(lw) > 0),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM full_lines GROUP BY doc_id),
-hosts AS (SELECT source, count(DISTINCT doc_id) AS n_host FROM d GROUP BY source),
-above AS (
-  SELECT source, k FROM (SELECT source, k, count(DISTINCT doc_id) AS n_docs FROM full_lines GROUP BY source, k HAVING count(DISTINCT doc_id) >= 20)
-  JOIN hosts USING (source) WHERE n_docs > 0.01 * n_host),
+above AS (SELECT source, k FROM full_lines GROUP BY source, k HAVING count(DISTINCT doc_id) >= 3),
 lost AS (SELECT doc_id, sum(n) AS n_line_words FROM full_lines SEMI JOIN above USING (source, k) GROUP BY doc_id),
 j AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
