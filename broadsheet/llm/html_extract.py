@@ -2,7 +2,8 @@
 
 A page becomes a tree of block elements with its runs of text as leaves. Every node is content or not: an element is when
 main text lies in it. Potentials tie a node to its own features and to its parent; messages passed up and down the tree give
-each leaf's marginal probability. The potentials are counts from labelled pages on top of prior counts.
+each leaf's marginal probability. The potentials are counts from labelled pages on top of prior counts; the class, id and role
+words of any site are features, so that a site with names of its own is learned from its labelled pages.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ from broadsheet.llm.rows import as_bytes, shared, slices
 
 MAX_PAGES = 2000  # labelled pages that the potentials are counted on, at the utmost
 PRIOR = 40.0  # what one entry of the prior is worth in nodes
-KNOWN = 2000.0  # the same for names that say by themselves what an element is
+LEAST_PAGES = 3  # labelled pages with a name that is on no list, for the name to count
+SMOOTH = 1.0  # pages that speak neither for nor against such a name
 CLEAR = 5e-5  # share of main text among elements named as something else
 #: Odds that one feature may add or take. Features of one node go together, so that each alone must not decide.
-LIMITS = {"words": (-0.7, 0.7), "end": (-0.5, 0.5), "noend": (-0.5, 0.5), "nosign": (-0.2, 0.2), "sign": (-5.0, 0.0), "links": (-2.5, 0.5), "tag": (-0.7, 0.7)}
+LIMITS = {"words": (-0.7, 0.7), "end": (-0.5, 0.5), "noend": (-0.5, 0.5), "nosign": (-0.2, 0.2), "sign": (-5.0, 0.0), "links": (-2.5, 0.5), "tag": (-0.7, 0.7), "plain": (-1.0, 1.0)}
 THRESHOLD = 0.5
 MOST_STAYS = 0.75  # of the children of a content element
-PLAIN = 1.0  # odds of text, and of elements made for running text, that nothing speaks against
+PLAIN = 0.73  # share of main text in text, and in elements made for running text, before any page
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,11 +47,11 @@ ENDS = {
     "body": ({"head", "title"}, {"html"}),
 }
 
-# Prior knowledge: names that sites give to what is not, or is, the main text.
+# Prior knowledge, worth a few labelled pages: names that sites give to what is not, or is, the main text.
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog button select option label textarea iframe title head fieldset search template noscript".split())
 CONTENT_TAGS = frozenset("article main".split())
 WHOLE_TAGS = frozenset("html body".split())
-TEXT_TAGS = frozenset("# p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 BOILER_NAMES = frozenset(
     "ad ads adv advert adverts advertisement adbox banner sponsor sponsored promo promotion nav navbar navigation menu sidebar side aside footer "
     "header masthead cookie cookies consent gdpr notice alert popup modal overlay comment comments reply replies discussion disqus respond "
@@ -152,9 +154,10 @@ def features(node: Node) -> list[str]:
             f"links{0 if share < 0.05 else 1 if share < 0.6 else 2}",
             "end" if node.text[-1:] in ".!?…:\"'»”" else "noend",
             "sign" if "©" in node.text[:40] else "nosign",
+            "plain:#",
         ]
-    boiler, content = node.names & BOILER_NAMES, node.names & CONTENT_NAMES
-    out = [f"tag:{node.tag}"] + [f"name:{w}" for w in sorted(boiler | content)]
+    out = [f"tag:{node.tag}"] + [f"name:{w}" for w in sorted(node.names) if not w.isdigit()]
+    out += ["plain:p"] if node.tag in TEXT_TAGS else []
     return out + ["hidden"] if node.hidden else out
 
 
@@ -162,18 +165,20 @@ def prior_counts() -> Counter:
     """Counts of ``(kind, key, label)`` before any page: features of a node, and the label of a child under its parent's."""
     out: Counter = Counter()
     for tag in BLOCK:
-        share, worth = (CLEAR, KNOWN) if tag in BOILER_TAGS else (0.9, PRIOR) if tag in CONTENT_TAGS else (0.5, PRIOR)
+        share, worth = (CLEAR, PRIOR) if tag in BOILER_TAGS else (0.9, PRIOR) if tag in CONTENT_TAGS else (0.5, PRIOR)
         if tag in WHOLE_TAGS:  # a page has a main text
-            share, worth = 1 - CLEAR, KNOWN
+            share, worth = 1 - CLEAR, PRIOR
         out["f", f"tag:{tag}", 1], out["f", f"tag:{tag}", 0] = worth * share, worth * (1 - share)
     for name in BOILER_NAMES | CONTENT_NAMES:
-        share, worth = (CLEAR, KNOWN) if name in BOILER_NAMES else (0.8, PRIOR)
+        share, worth = (CLEAR, PRIOR) if name in BOILER_NAMES else (0.8, PRIOR)
         out["f", f"name:{name}", 1], out["f", f"name:{name}", 0] = worth * share, worth * (1 - share)
-    out["f", "hidden", 1], out["f", "hidden", 0] = KNOWN * CLEAR, KNOWN
+    out["f", "hidden", 1], out["f", "hidden", 0] = PRIOR * CLEAR, PRIOR
     for k, share in zip(range(8), (0.4, 0.4, 0.5, 0.6, 0.65, 0.7, 0.75, 0.8), strict=True):
         out["f", f"words{k}", 1], out["f", f"words{k}", 0] = 2 * share, 2 * (1 - share)
     for key, share in (("links0", 0.6), ("links1", 0.4), ("links2", 0.1), ("end", 0.6), ("noend", 0.4), ("nosign", 0.5), ("sign", 0.05)):
         out["f", key, 1], out["f", key, 0] = 4 * share, 4 * (1 - share)
+    for key in ("plain:#", "plain:p"):
+        out["f", key, 1], out["f", key, 0] = PRIOR * PLAIN, PRIOR * (1 - PLAIN)
     out["t", "1", 1], out["t", "1", 0] = 0.8 * PRIOR, 0.2 * PRIOR
     out["t", "0", 1], out["t", "0", 0] = 0.002 * PRIOR, PRIOR
     return out
@@ -191,7 +196,8 @@ class Potentials:
         keys = {key for kind, key, _ in counts if kind == "f"}
         odds = {}
         for k in keys:
-            z = float(np.log((counts["f", k, 1] + 0.05) / (counts["f", k, 0] + 0.05)))
+            smooth = SMOOTH / 2 if _unlisted(k) else 0.05
+            z = float(np.log((counts["f", k, 1] + smooth) / (counts["f", k, 0] + smooth)))
             kind = re.match(r"[a-z]+", k)[0]
             known = k.removeprefix("tag:") in BOILER_TAGS | CONTENT_TAGS | WHOLE_TAGS
             odds[k] = z if known else float(np.clip(z, *LIMITS.get(kind, (-12.0, 12.0))))
@@ -206,7 +212,7 @@ class Potentials:
         e00, e01, e10, e11 = self.edge.ravel().tolist()
         local = []
         for node in nodes:
-            z = sum(self.odds.get(f, 0.0) for f in features(node)) + (PLAIN if node.tag in TEXT_TAGS else 0.0)
+            z = sum(self.odds.get(f, 0.0) for f in features(node))
             p = 1 / (1 + np.exp(-min(30.0, max(-30.0, z))))
             local.append((1 - p, p))
         up0, up1 = [x[0] for x in local], [x[1] for x in local]
@@ -239,8 +245,15 @@ class Potentials:
         return " ".join(n.text for n, p in zip(nodes, marginals, strict=True) if n.tag == "#" and n.text and p >= THRESHOLD)
 
 
+def _unlisted(key: str) -> bool:
+    return key.startswith("name:") and key[5:] not in BOILER_NAMES | CONTENT_NAMES
+
+
 def label_counts(page: str, truth: str) -> Counter:
-    """Counts from one labelled page: a leaf is content when it is a line of the true text or how that text begins."""
+    """Counts from one labelled page: a leaf is content when it is a line of the true text or how that text begins.
+
+    A name counts once a page and label, since the elements of one page that share it say the same thing.
+    """
     nodes = tree_of(page)
     lines = {" ".join(x.split()) for x in truth.split("\n")}
     start = " ".join(truth.split())
@@ -253,13 +266,26 @@ def label_counts(page: str, truth: str) -> Counter:
     out: Counter = Counter()
     if not labels[0]:
         return out  # the text is not of this page
+    names = set()
     for i, node in enumerate(nodes):
-        out.update(("f", f, labels[i]) for f in features(node))
+        found = [("f", f, labels[i]) for f in features(node)]
+        names.update(f for f in found if f[1].startswith("name:"))
+        out.update(f for f in found if not f[1].startswith("name:"))
         if i:
             out["t", str(labels[node.parent]), labels[i]] += 1
+    out.update(names)
     return out
 
 
+def learned(found: dict[tuple[str, str, int], int]) -> Potentials:
+    """Potentials from the prior and the counts of labelled pages; names of fewer than ``LEAST_PAGES`` that are on no list are left out."""
+    counts = prior_counts()
+    for (kind, key, label), n in found.items():
+        if kind == "t" or not _unlisted(key) or sum(found.get((kind, key, y), 0) for y in (0, 1)) >= LEAST_PAGES:
+            counts[kind, key, label] += n
+    return Potentials.of(counts)
+
+
 def sampled_truths(numbers: DataFrame, docs: DataFrame, most: int = MAX_PAGES) -> DataFrame:
     """``(page_id, truth)`` for at most ``most`` of the ``(page_id, doc_id)`` rows, those of the smallest hashes, so that only
     these documents' texts are moved."""
@@ -285,10 +311,7 @@ def train(pages: DataFrame, truths: DataFrame, most: int = MAX_PAGES) -> Potenti
         yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names=["kind", "key", "label", "n"])
 
     counted = known.select("html", "truth").mapInArrow(run, "kind string, key string, label int, n bigint").groupBy("kind", "key", "label").agg(F.sum("n").alias("n"))
-    counts = prior_counts()
-    for r in counted.collect():  # no more rows than there are features
-        counts[r.kind, r.key, r.label] += r.n
-    return Potentials.of(counts)
+    return learned({(r.kind, r.key, r.label): r.n for r in counted.collect()})  # no more rows than the sampled pages have features
 
 
 def extract_text(pages: DataFrame, potentials: Potentials) -> DataFrame:

@@ -184,6 +184,23 @@ def test_main_text_by_the_prior_and_by_labelled_pages(spark):
     assert html_extract.extract_text(pages.limit(0), fitted).count() == 0
 
 
+def site_page(i):
+    core = [f"This is sentence {i} number {j} of the article with several plain words." for j in range(4)]
+    rail = [f"Rail item {i} number {j} with several other plain words in a row." for j in range(4)]
+    body = "".join(f"<div class='{name}'>" + "".join(f"<p>{x}</p>" for x in lines) + "</div>" for name, lines in (("zq-rail", rail), ("zq-core", core)))
+    return f"<html><body>{body}</body></html>", "\n".join(core)
+
+
+def test_names_of_a_site_are_learned_from_its_labelled_pages(spark):
+    pages = spark.createDataFrame([(i, f"u{i}", site_page(i)[0]) for i in range(120)], "page_id bigint, url string, html string")
+    truths = spark.createDataFrame([(i, site_page(i)[1]) for i in range(60)], "page_id bigint, truth string")
+    right = {i: " ".join(site_page(i)[1].split("\n")) for i in range(120)}
+    learned = html_extract.extract_text(pages, html_extract.train(pages, truths)).collect()
+    assert all(r.text == right[r.page_id] for r in learned)
+    unlearned = html_extract.extract_text(pages, html_extract.train(pages, truths.limit(0))).collect()
+    assert not any(r.text == right[r.page_id] for r in unlearned)
+
+
 def test_messages_give_the_marginals_of_the_whole_tree():
     nodes = html_extract.tree_of("<body><div><p>Some words here.</p><ul><li>x</li></ul></div><p>More words.</p></body>")
     model = html_extract.Potentials.of(html_extract.prior_counts())
@@ -193,7 +210,7 @@ def test_messages_give_the_marginals_of_the_whole_tree():
 
     local = []
     for n in nodes:
-        z = sum(model.odds.get(f, 0.0) for f in html_extract.features(n)) + (html_extract.PLAIN if n.tag in html_extract.TEXT_TAGS else 0.0)
+        z = sum(model.odds.get(f, 0.0) for f in html_extract.features(n))
         local.append(1 / (1 + np.exp(-z)))
     total, content = 0.0, np.zeros(len(nodes))
     for labels in itertools.product((0, 1), repeat=len(nodes)):
