@@ -10,11 +10,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from broadsheet.functions.rows import run_once
 
+BLOCK_VALUES = 1 << 22
+
 
 def concat_vectors(left: Column | str, right: Column | str) -> Column:
     return F.concat(left, right)
@@ -45,6 +48,50 @@ def arrow_vectors(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(matrix.ravel(), pa.float64()))
 
 
+def sparse_parts(vector: Column | str) -> tuple[Column, Column]:
+    """Positions and values of the entries of an ML vector, read out of its own layout in the JVM. A vector that Spark holds as
+    dense has all its positions, zeros included."""
+    raw = F.unwrap_udt(vector)
+    every = F.transform(raw["values"], lambda x, i: i)
+    return F.coalesce(raw["indices"], every), raw["values"]
+
+
+def sparse_entries(vector: Column | str, position: str, value: str) -> Column:
+    """Array of ``(position, value)`` of the entries that are not zero."""
+    pairs = F.zip_with(*sparse_parts(vector), lambda i, x: F.struct(i.alias(position), x.alias(value)))
+    return F.filter(pairs, lambda e: e[value] != 0)
+
+
+def sparse_product(positions: pa.Array, values: pa.Array, matrix: np.ndarray) -> np.ndarray:
+    """Rows given as lists of positions and their values, all in one array, times a matrix. Null and empty rows give zeros.
+
+    Only the rows of the matrix that an entry meets are read, some entries at a time; a row cut by the border of two such
+    blocks is added up in both.
+    """
+    lengths = pc.fill_null(pc.list_value_length(positions), 0).to_numpy(zero_copy_only=False)
+    at = positions.flatten().to_numpy(zero_copy_only=False)
+    x = values.to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    out = np.zeros((len(lengths), matrix.shape[1]))
+    step = max(1, BLOCK_VALUES // matrix.shape[1])
+    for start in range(0, len(at), step):
+        block = slice(start, start + step)
+        first = np.flatnonzero(np.r_[True, row[block][1:] != row[block][:-1]])
+        out[row[block][first]] += np.add.reduceat(x[block, None] * matrix[at[block]], first, axis=0)
+    return out
+
+
+def project_sparse(vector: Column | str, loadings: Sequence[Sequence[float]]) -> Column:
+    """An ML vector times a fixed matrix given as one row per dimension; what it holds is never laid out densely."""
+    fixed = np.asarray(loadings, dtype=np.float64)
+
+    @F.arrow_udf("array<double>")
+    def multiply(positions: pa.Array, values: pa.Array) -> pa.Array:
+        return arrow_vectors(sparse_product(positions, values.flatten(), fixed))
+
+    return run_once(multiply)(*sparse_parts(vector))
+
+
 def squared_distances(vector: Column | str, centers: Sequence[Sequence[float]]) -> Column:
     """Array with the squared distance of ``vector`` to each of a few fixed centres."""
     fixed = np.asarray(centers, dtype=np.float64)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions.sizing import BROADCAST_BYTES
-from broadsheet.functions.vectors import project
+from broadsheet.functions.vectors import project, project_sparse
 
 MAX_COLUMNS = 4096
 
@@ -83,7 +83,7 @@ def project_rows(df: DataFrame, loadings: np.ndarray, vector: str = "row") -> Da
     """``(doc_id, projection)``: sparse rows times a bounded terms-by-axes matrix, every document kept, no shuffle."""
     if loadings.nbytes > BROADCAST_BYTES:
         raise ValueError(f"loadings of {loadings.nbytes} bytes, more than {BROADCAST_BYTES}")
-    return df.select("doc_id", project(vector_to_array(vector), loadings).alias("projection"))
+    return df.select("doc_id", project_sparse(vector, loadings).alias("projection"))
 
 
 def project_on(df: DataFrame, loadings: list[list[float]], vector: str = "vector") -> DataFrame:

@@ -7,18 +7,15 @@ row, in the JVM, so no document-keyed shuffle is needed. The long table is explo
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.rows import unnest
+from broadsheet.functions.vectors import sparse_entries
 from broadsheet.operators.ranking import top_n
 from broadsheet.operators.vocabulary import Vocabulary
 
-# Wider rows are counted by join and aggregation instead of being laid out densely.
-DENSE_TERMS = 4096
-
 
 def term_counts(documents: DataFrame) -> DataFrame:
     """``(doc_id, term, f)`` over all words, no vocabulary."""
@@ -47,26 +44,21 @@ def _weight(counts: Column, length: Column, idf: Column, tf: str) -> Column:
 
 
 def counts_long(counted: DataFrame, keep_empty: bool = False) -> DataFrame:
-    """``(doc_id, n, term_id, f)`` from count rows. ``keep_empty`` leaves one row with ``f = 0`` in documents
-    that have no term 0, so that later groupings do not lose documents without terms."""
+    """``(…, n, term_id, f)`` from count rows, one row per row and term in it, whatever the width of the vocabulary.
+
+    ``keep_empty`` leaves rows without terms one row of term 0 with ``f = 0``, so that later groupings do not lose them."""
     others = [c for c in counted.columns if c != "counts"]
-    numbered = F.transform(vector_to_array("counts"), lambda f, i: F.struct(i.alias("term_id"), f.alias("f")))
-    found = F.filter(numbered, lambda e: (e["f"] > 0) | (e["term_id"] == 0) if keep_empty else e["f"] > 0)
+    found = sparse_entries("counts", "term_id", "f")
+    if keep_empty:
+        nothing = F.array(F.struct(F.lit(0).alias("term_id"), F.lit(0.0).alias("f")))
+        found = F.when(F.size(found) == 0, nothing).otherwise(found)
     entries = unnest(counted, others, found, "entry")
     return entries.select(*others, "entry.term_id", "entry.f")
 
 
 def vocabulary_counts(documents: DataFrame, vocabulary: Vocabulary, keep_empty: bool = False) -> DataFrame:
-    """``(…, n, term_id, f)``, one row per document and vocabulary term in it. Up to ``DENSE_TERMS`` terms this is
-    narrow; a wider vocabulary is joined and counted per document. ``keep_empty`` leaves documents without any
-    vocabulary term one row with ``f = 0``."""
-    if len(vocabulary.terms) <= DENSE_TERMS:
-        return counts_long(count_rows(documents, vocabulary), keep_empty)
-    others = [c for c in documents.columns if c != "words"]
-    table = vocabulary.table(documents.sparkSession).select("term_id", "term")
-    words = documents.select(*others, document_length().alias("n"), F.explode_outer("words").alias("term"))
-    found = words.join(table, "term", "left" if keep_empty else "inner")
-    return found.groupBy(*others, "n", "term_id").agg(F.count("term_id").cast("double").alias("f"))
+    """The same from documents: rows of one id stay apart, and nothing is shuffled."""
+    return counts_long(count_rows(documents, vocabulary), keep_empty)
 
 
 def tfidf_long(documents: DataFrame, vocabulary: Vocabulary, tf: str = "relative") -> DataFrame:

@@ -7,15 +7,21 @@ the tasks before it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from broadsheet.functions.sizing import fits_broadcast
 from broadsheet.session import durable
 
 PART_ROWS = 4_000_000  # rows of one task, at which further ones are taken
-ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its lower 33 bits
+OFFSET_BYTES = 256  # at which the row of a task and class is reckoned when they are to be broadcast
 
 
 def corpus_span(df: DataFrame, date: str = "date") -> DataFrame:
@@ -38,35 +44,58 @@ def class_timeline(df: DataFrame, id_column: str = "doc_id", parts: int | None =
     """``(id, date, class, csum, total, share)``: running count within the class, over all classes, and their
     ratio, in order of date, class, id.
 
-    The ordered rows are frozen on shared storage between counting and numbering: both must see the same
-    split into tasks. ``parts`` is the number of those; by default the session's shuffle partitions, or as many as leave
-    each ``PART_ROWS`` rows.
+    The rows are shuffled once, into their order. While they stream out of it each task numbers them, over all and per class;
+    these rows are frozen on shared storage, and the last numbers of the tasks before are added. ``parts`` is the number of
+    tasks; by default the session's shuffle partitions, or as many as leave each ``PART_ROWS`` rows.
     """
     spark = df.sparkSession
     order = [F.asc_nulls_last("date"), F.asc("class"), F.asc(id_column)]
     if parts is None:
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // PART_ROWS))
     ordered = df.select(id_column, "date", "class").repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ordered = durable(ordered.withColumn("_at", F.monotonically_increasing_id()))
-    ordered = ordered.withColumn("_part", F.shiftright("_at", ROW_BITS))
+    numbered = durable(_numbered_in_tasks(ordered))
 
-    # One row per task and class, whatever the number of documents.
-    counts = ordered.groupBy("_part", "class").agg(F.count("*").alias("rows"))
+    # One row per task and class, and one per task, whatever the number of documents.
+    classes = numbered.groupBy("_part", "class").agg(F.max("_in_class").alias("rows"))
     earlier = Window.partitionBy("class").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.orderBy("_part").rangeBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col("_part").alias("_in_part"),
-        F.col("class").alias("_in_class"),
-        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_class_before"),
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_before"),
-    )
-
-    number = F.row_number().over(Window.partitionBy("_part", "class").orderBy("_at"))
-    row_in_part = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
-    same_place = (F.col("_part") == F.col("_in_part")) & F.col("class").eqNullSafe(F.col("_in_class"))
-    numbered = ordered.withColumn("_number", number).join(offsets, same_place)
-    csum = F.col("_class_before") + F.col("_number")
-    total = F.col("_before") + row_in_part
-    return numbered.select(
-        id_column, "date", "class", csum.alias("csum"), total.alias("total"), (csum / total).alias("share")
-    )
+    offsets = classes.select(F.col("_part").alias("_of"), F.col("class").alias("_class"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_class_before"))
+    before, total = [], 0
+    for part, rows in sorted(numbered.groupBy("_part").agg(F.max("_in_all")).collect()):  # one row per task
+        before.append((part, total))
+        total += rows
+    starts = spark.createDataFrame(before, "_part INT, _before BIGINT")
+
+    offsets = durable(offsets)
+    if fits_broadcast(offsets, OFFSET_BYTES):
+        offsets = F.broadcast(offsets)
+    same_place = (F.col("_part") == F.col("_of")) & F.col("class").eqNullSafe(F.col("_class"))
+    placed = numbered.join(F.broadcast(starts), "_part").join(offsets, same_place)
+    csum, total_ = F.col("_class_before") + F.col("_in_class"), F.col("_before") + F.col("_in_all")
+    return placed.select(id_column, "date", "class", csum.alias("csum"), total_.alias("total"), (csum / total_).alias("share"))
+
+
+def _numbered_in_tasks(ordered: DataFrame) -> DataFrame:
+    """Adds to each row its number within its task, ``_in_all``, and among the task's rows of its class, ``_in_class``, counted
+    as the rows stream by, and the number of the task, ``_part``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, rows, last = TaskContext.get().partitionId(), 0, {}
+        for batch in batches:
+            n = batch.num_rows
+            coded = pc.dictionary_encode(batch.column(2), null_encoding="encode")
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            by_class = np.argsort(codes, kind="stable")
+            first = np.flatnonzero(np.r_[True, np.diff(codes[by_class]) != 0])
+            sizes = np.diff(np.r_[first, n])
+            number = np.empty(n, np.int64)
+            number[by_class] = np.arange(n) - np.repeat(first, sizes) + 1
+            names = coded.dictionary.to_pylist()
+            number += np.array([last.get(c, 0) for c in names], np.int64)[codes]
+            for code, size in zip(codes[by_class[first]].tolist(), sizes.tolist(), strict=True):
+                last[names[code]] = last.get(names[code], 0) + size
+            added = [pa.array(number), pa.array(np.arange(rows + 1, rows + n + 1)), pa.array(np.full(n, part, np.int32))]
+            rows += n
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "_in_class", "_in_all", "_part"])
+
+    kinds = [T.StructField("_in_class", T.LongType()), T.StructField("_in_all", T.LongType()), T.StructField("_part", T.IntegerType())]
+    return ordered.mapInArrow(run, T.StructType([*ordered.schema.fields, *kinds]))

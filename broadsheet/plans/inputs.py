@@ -13,6 +13,7 @@ from broadsheet.operators.vocabulary import Vocabulary, build_vocabulary
 
 NUM_TERMS = 1000
 NUM_TERMS_WIDE = 1500  # more terms than there are vectors at the smaller scales, so look-ups miss
+NUM_TERMS_MANY = 10_000  # more than a square matrix of column products is laid out for
 WIDTH = 64
 
 # Function words of the four languages of the test documents.

@@ -93,6 +93,30 @@ def malformed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+def cut_off_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles of which some lack an end tag, some hide tags in sections, and some have a section without end: the text of the
+    good ones, and the rejected ones."""
+    id_, kind = F.col("doc_id").cast("string"), F.col("doc_id") % 8
+    body = (
+        F.when(kind == 1, "<text>cut off here</text>")
+        .when(kind == 2, "<text><![CDATA[a </document> b]]></text></document>")
+        .when(kind == 3, "<text><![CDATA[a <document> b]]></text></document>")
+        .when(kind == 4, "<!-- </document><document><docid>0</docid> --><text>plain</text></document>")
+        .when(kind == 5, "<text><![CDATA[never ends</text></document>")
+        .when(kind == 6, "<documentary/><text>plain</text></document>")
+        .otherwise("<text>plain</text></document>")
+    )
+    path = scratch_path(spark, "articles")
+    record = F.concat(F.lit("<document><docid>"), id_, F.lit("</docid>"), body)
+    tables.write_text(inputs.table(spark, sf_dir, "documents").select(record.alias("line")), path)
+    records = xml.read_article_records(spark, path)
+    good = xml.articles(records).select("doc_id", F.lit("good").alias("kind"), "text")
+    bad = xml.article_errors(records).select(
+        F.regexp_extract("record", "<docid>([0-9]+)</docid>", 1).cast("bigint").alias("doc_id"), F.col("reason").alias("kind"), F.lit(None).cast("string").alias("text")
+    )
+    return good.unionByName(bad)
+
+
 def full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = _press(spark, sf_dir).select("doc_id", xml.full_text().alias("full_text"))
     return joined.select("doc_id", F.length("full_text").cast("bigint").alias("n_chars"), F.md5("full_text").alias("digest"))
@@ -206,6 +230,13 @@ def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.withColumn("w", F.round("w", 6))
 
 
+def tfidf_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vocabulary of ten thousand terms, every document twice under the same id."""
+    words, found = inputs.words_and_vocabulary(spark, sf_dir, num_terms=inputs.NUM_TERMS_MANY)
+    long = tfidf.tfidf_long(words.unionByName(words), found)
+    return long.select("doc_id", "term_id", F.col("f").cast("bigint").alias("f"), "n", F.round("w", 6).alias("w"))
+
+
 def corpus_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = tfidf.tfidf_long(*inputs.words_and_vocabulary(spark, sf_dir))
     return tfidf.corpus_terms(long).withColumn("total", F.round("total", 6))
@@ -230,13 +261,22 @@ def union_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unnest(both, [], "words", "word").groupBy("word").agg(F.count("*").alias("n"))
 
 
+def one_line_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files without line ends inside a document's words: words of the packed corpus, and whether all arrays are of
+    the wanted length."""
+    path = scratch_path(spark, "corpus")
+    tables.write_text(inputs.documents(spark, sf_dir).select(F.concat(tok.rejoin(tok.tokens("text")), F.lit(" ")).alias("line")), path)
+    packed = text.read_one_line_corpus(spark, path, length=100).withColumn("fits", F.size("words").between(1, 100))
+    return unnest(packed, ["fits"], "words", "word").groupBy("word").agg(F.count("*").alias("n"), F.min("fits").alias("fits"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        tokenize_counts, extract_article_xml, article_titles, raw_record_fields, article_errors, malformed_articles, full_text,
+        tokenize_counts, extract_article_xml, article_titles, raw_record_fields, article_errors, malformed_articles, cut_off_articles, full_text,
         clean_markup, clean_wiki_dump, stopword_filter, lemma_dictionary, lemma_forms, press_job_frequencies, press_job_classified, term_counts, doc_frequencies,
         document_frequencies_file, idf_table,
-        tfidf_long, tfidf_vectors, corpus_terms, doc_top_terms, sample_scan, union_corpora,
+        tfidf_long, tfidf_vectors, tfidf_wide, corpus_terms, doc_top_terms, sample_scan, union_corpora, one_line_corpus,
     )
 }
 
@@ -291,6 +331,15 @@ SELECT doc_id, {_markup_sql("body")} AS words FROM bodies""",
 SELECT doc_id, CASE WHEN lang = 'fr' THEN 'record' ELSE 'good' END AS kind,
        CASE WHEN lang = 'fr' THEN NULL WHEN lang = 'de' THEN 'one two' ELSE 'one ' || lang || ' and more' END AS title
 FROM documents""",
+    "cut_off_articles": """
+SELECT doc_id, CASE WHEN doc_id % 8 IN (1, 5) THEN 'record' ELSE 'good' END AS kind,
+       CASE doc_id % 8 WHEN 1 THEN NULL WHEN 5 THEN NULL WHEN 2 THEN 'a </document> b' WHEN 3 THEN 'a <document> b' ELSE 'plain' END AS text
+FROM documents""",
+    "tfidf_wide": f"""
+WITH {inputs.tfidf_sql(inputs.NUM_TERMS_MANY)}
+SELECT doc_id, term_id, f, CAST(n AS INTEGER) AS n, round(w, 6) AS w FROM tfidf CROSS JOIN range(2)""",
+    "one_line_corpus": f"""
+SELECT word, count(*) AS n, true AS fits FROM (SELECT unnest({_TOKENS}) AS word FROM documents) GROUP BY word""",
     "stopword_filter": rf"""
 WITH stop AS (
   SELECT DISTINCT word FROM (SELECT unnest({_TOKENS}) AS word FROM benchmark) WHERE length(word) <= 4)

@@ -41,7 +41,6 @@ def test_words_outside_the_vocabulary_do_not_count(spark, mini, fruit_vectors):
 def test_centroids_of_a_wide_vocabulary(spark, mini_with_empty, mini, fruit_vectors, monkeypatch):
     found = vocabulary.build_vocabulary(mini, 10)
     expected = {w: vectors(centroids.weighted_centroids(mini_with_empty, found, fruit_vectors, 2, w)) for w in ("tfidf", "one")}
-    monkeypatch.setattr(tfidf, "DENSE_TERMS", 0)
     monkeypatch.setattr(centroids, "BROADCAST_BYTES", 0)
     for weighting, want in expected.items():
         assert vectors(centroids.weighted_centroids(mini_with_empty, found, fruit_vectors, 2, weighting)) == want

@@ -52,12 +52,34 @@ def test_length_counts_words_outside_the_vocabulary(spark, mini):
     assert weights(tfidf.tfidf_long(mini, found))[(1, "apple")] == pytest.approx(2 / 3 * math.log(3))
 
 
-def test_wide_vocabulary_takes_the_join_and_agrees(spark, mini_with_empty, monkeypatch):
-    found = vocabulary.build_vocabulary(mini_with_empty, 10)
-    narrow = sorted(tfidf.tfidf_long(mini_with_empty, found).select("doc_id", "term", "f", "n", "w").collect())
-    monkeypatch.setattr(tfidf, "DENSE_TERMS", 0)
-    wide = sorted(tfidf.tfidf_long(mini_with_empty, found).select("doc_id", "term", "f", "n", "w").collect())
-    assert narrow == wide
+@pytest.mark.parametrize("width", [3, 20_000])
+def test_rows_of_one_id_stay_apart_at_every_width(spark, width):
+    docs = spark.createDataFrame([(1, ["a", "b"]), (1, ["a", "c", "a"]), (2, None), (3, [])], "doc_id BIGINT, words ARRAY<STRING>")
+    found = vocabulary.Vocabulary(["a", "b", "c"] + [f"x{i}" for i in range(width - 3)], [2] + [1] * (width - 1), 4)
+    long = tfidf.tfidf_long(docs, found)
+    assert sorted((r.doc_id, r.term, r.f, r.n) for r in long.collect()) == [(1, "a", 1, 2), (1, "a", 2, 3), (1, "b", 1, 2), (1, "c", 1, 3)]
+    kept = tfidf.vocabulary_counts(docs, found, keep_empty=True)
+    assert sorted((r.doc_id, r.term_id, r.f) for r in kept.where("f = 0").collect()) == [(2, 0, 0.0), (3, 0, 0.0)]
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sparse_products_equal_dense_ones(spark, monkeypatch):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    from broadsheet.functions import vectors as vec
+
+    monkeypatch.setattr(vec, "BLOCK_VALUES", 4)
+    rng = np.random.default_rng(0)
+    dense = rng.integers(0, 3, (40, 6)) * rng.random((40, 6))
+    dense[3] = 0
+    loadings = rng.random((6, 2))
+    rows = [(i, Vectors.sparse(6, [(j, x) for j, x in enumerate(r) if x]) if i % 2 else Vectors.dense(r)) for i, r in enumerate(dense)]
+    df = spark.createDataFrame(rows, ["doc_id", "row"])
+    got = {r.doc_id: list(r.x) for r in df.select("doc_id", vec.project_sparse("row", loadings).alias("x")).collect()}
+    assert all(got[i] == pytest.approx((dense @ loadings)[i]) for i in range(40))
+    entries = df.select("doc_id", vec.sparse_entries("row", "at", "x").alias("e")).collect()
+    assert all([(e["at"], e.x) for e in r.e] == [(j, x) for j, x in enumerate(dense[r.doc_id]) if x] for r in entries)
 
 
 def test_rows_equal_the_long_table_and_keep_empty_documents(spark, mini_with_empty):
