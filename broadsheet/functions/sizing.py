@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 FEW_SPLITS = 32
@@ -17,9 +18,22 @@ def driver_rows(df: DataFrame, most: int, what: str) -> list[Row]:
     return rows
 
 
-def fits_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """True when counting the rows proves that ``df`` stays below ``limit`` bytes."""
-    return df.agg(F.count("*")).first()[0] * row_bytes <= limit
+def text_bytes(df: DataFrame) -> Column:
+    """What the texts of a row take, arrays of texts included."""
+    sizes = [F.lit(0).cast("bigint")]
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
+            sizes.append(F.coalesce(F.octet_length(f.name), F.lit(0)).cast("bigint"))
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
+            sizes.append(F.aggregate(F.coalesce(f.name, F.array().cast("array<string>")), F.lit(0).cast("bigint"), lambda n, x: n + 16 + F.coalesce(F.octet_length(x), F.lit(0))))
+    return sum(sizes[1:], sizes[0])
+
+
+def fits_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES, most_rows: int | None = None) -> bool:
+    """True when a pass over ``df`` proves that it stays below ``limit`` bytes: ``row_bytes`` for each row, and the length of
+    all its texts; and below ``most_rows`` rows, if given."""
+    found = df.agg(F.count("*").alias("n"), F.sum(text_bytes(df)).alias("texts")).first()
+    return found.n * row_bytes + (found.texts or 0) <= limit and (most_rows is None or found.n <= most_rows)
 
 
 def spread_out(scan: DataFrame) -> DataFrame:

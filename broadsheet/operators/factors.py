@@ -2,11 +2,14 @@
 
 Matrices here are tall and narrow: documents by a bounded number of terms or dimensions. One pass adds up the
 small square matrix of column products; its decomposition is a driver matter of that bounded size. Wider matrices
-are decomposed by repeated products with the distributed rows, where the driver holds a few vectors only.
+are decomposed in a subspace that grows by a block of vectors with each pass over the sparse rows; the driver holds some blocks
+of as many rows as there are columns. A last pass factors the projected rows by QR in a tree over the tasks, so that small
+singular values are as exact as large ones.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,9 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions.sizing import BROADCAST_BYTES
-from broadsheet.functions.vectors import project, project_sparse
+from broadsheet.functions.vectors import project, project_sparse, sparse_parts, sparse_product
+from broadsheet.session import durable
 
 MAX_COLUMNS = 4096
+OVERSAMPLE = 10  # vectors of a block beyond those asked for
+MAX_PASSES = 300
+SETTLED = 1e-12  # residual, as a part of the largest eigenvalue, at which a vector is done
+CHUNK_COLUMNS = 1024
+TREE_TASKS = 32
 
 
 def row_matrix(df: DataFrame, vector: str = "row") -> RowMatrix:
@@ -64,11 +73,116 @@ class Decomposition:
         return spark.createDataFrame(rows, "concept INT, term_id INT, weight DOUBLE")
 
 
-def decompose(df: DataFrame, width: int, k: int, vector: str = "row") -> Decomposition:
-    """The ``k`` largest singular values of the uncentred rows, from one pass over them up to ``MAX_COLUMNS`` columns."""
-    if width > MAX_COLUMNS:
-        found = row_matrix(df, vector).computeSVD(min(k, width - 1))
-        values, right = found.s.toArray(), found.V.toArray()
+def _block_product(rows: DataFrame, width: int) -> Callable[[np.ndarray], np.ndarray]:
+    """The product of the matrix of column products with a block of vectors, without that matrix: one pass over the rows.
+
+    Each task adds its rows up in one block, which it sends in chunks of columns; the chunks of all tasks are added up as they
+    stream into one task each.
+    """
+
+    def product(block: np.ndarray) -> np.ndarray:
+        shared = rows.sparkSession.sparkContext.broadcast(block)
+        height = block.shape[1]
+
+        def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block, total = shared.value, np.zeros((width, height))
+            for batch in batches:
+                positions, values = batch.column(0), batch.column(1)
+                at, x = positions.flatten().to_numpy(), values.flatten().to_numpy()
+                lengths = np.diff(positions.offsets.to_numpy())
+                row = np.repeat(np.arange(len(lengths)), lengths)
+                projected = sparse_product(positions, values.flatten(), block)
+                order = np.argsort(at, kind="stable")
+                for start in range(0, len(order), step := max(1, (1 << 22) // height)):
+                    some = order[start : start + step]
+                    first = np.flatnonzero(np.r_[True, at[some][1:] != at[some][:-1]])
+                    total[at[some][first]] += np.add.reduceat(x[some, None] * projected[row[some]], first, axis=0)
+            chunks = range(0, width, CHUNK_COLUMNS)
+            used = [c for c in chunks if total[c : c + CHUNK_COLUMNS].any()]
+            sums = [total[c : c + CHUNK_COLUMNS].tobytes() for c in used]
+            for c, s in zip(used, sums, strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([s], pa.binary())], names=["chunk", "sums"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            totals: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for c, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    part = np.frombuffer(s)
+                    totals[c] = totals[c] + part if c in totals else part
+            for c, s in totals.items():
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([s.tobytes()], pa.binary())], names=["chunk", "sums"])
+
+        schema = "chunk int, sums binary"
+        out = np.zeros((width, height))
+        for r in rows.mapInArrow(multiply, schema).repartition("chunk").mapInArrow(add, schema).toLocalIterator():
+            out[r.chunk : r.chunk + CHUNK_COLUMNS] = np.frombuffer(r.sums).reshape(-1, height)
+        shared.unpersist()
+        return out
+
+    return product
+
+
+def _top_vectors(product: Callable[[np.ndarray], np.ndarray], width: int, k: int) -> np.ndarray:
+    """The ``k`` leading vectors of a symmetric positive matrix given by its products, from a random block that grows by the
+    residuals of what is not settled yet; a wide subspace is restarted from its best vectors."""
+    height = min(width, k + OVERSAMPLE)
+    space = np.linalg.qr(np.random.default_rng(0).standard_normal((width, height)))[0]
+    image = product(space)
+    for _ in range(MAX_PASSES):
+        values, turn = np.linalg.eigh(space.T @ image)
+        values, turn = values[::-1], turn[:, ::-1]
+        best, best_image = space @ turn, image @ turn
+        residual = best_image - best * values
+        size = np.linalg.norm(residual, axis=0)
+        if (size[:k] <= SETTLED * max(values[0], 1e-300)).all() or space.shape[1] == width:
+            break
+        if space.shape[1] + height > min(width, 6 * height):
+            space, image = best[:, : 2 * height], best_image[:, : 2 * height]
+        new = residual[:, :height]
+        new = new / np.maximum(np.linalg.norm(new, axis=0), 1e-300)
+        for _ in range(2):
+            new = new - space @ (space.T @ new)
+            left, sizes, _ = np.linalg.svd(new, full_matrices=False)
+            new = left[:, sizes > 1e-10]
+        if not new.shape[1]:
+            break
+        space, image = np.hstack([space, new]), np.hstack([image, product(new)])
+    return best[:, :k]
+
+
+def _tall_factor(rows: DataFrame, right: np.ndarray) -> np.ndarray:
+    """The triangular factor of the rows times ``right``: one per task, then of a few tasks' factors, then of those."""
+    shared, k = rows.sparkSession.sparkContext.broadcast(right), right.shape[1]
+
+    def project_and_factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((0, k))
+        for batch in batches:
+            found = np.linalg.qr(np.vstack([found, sparse_product(batch.column(0), batch.column(1).flatten(), shared.value)]), mode="r")
+        yield _matrix_batch(found)
+
+    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((0, k))
+        for batch in batches:
+            for m in batch.column(0).to_pylist():
+                found = np.linalg.qr(np.vstack([found, np.frombuffer(m).reshape(-1, k)]), mode="r")
+        yield _matrix_batch(found)
+
+    parts = rows.mapInArrow(project_and_factor, "factor binary").repartition(TREE_TASKS).mapInArrow(factor, "factor binary")
+    return np.linalg.qr(np.vstack([np.frombuffer(r.factor).reshape(-1, k) for r in parts.collect()]), mode="r")  # TREE_TASKS small ones
+
+
+def _matrix_batch(matrix: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(matrix).tobytes()], pa.binary())], names=["factor"])
+
+
+def decompose(df: DataFrame, width: int, k: int, vector: str = "row", square_columns: int = MAX_COLUMNS) -> Decomposition:
+    """The ``k`` largest singular values of the uncentred rows: up to ``square_columns`` columns by one pass over them."""
+    if width > square_columns:
+        positions, values = sparse_parts(vector)
+        rows = durable(df.select(positions.alias("positions"), values.alias("values")))
+        right = _top_vectors(_block_product(rows, width), width, min(k, width))
+        _, values, turn = np.linalg.svd(_tall_factor(rows, right), full_matrices=False)
+        right = right @ turn.T
     else:
         eigenvalues, vectors = np.linalg.eigh(gram_matrix(df, width, vector))
         order = np.argsort(eigenvalues)[::-1][:k]

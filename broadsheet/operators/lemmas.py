@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.rows import run_once, unnest
+from broadsheet.functions.sizing import fits_broadcast
 from broadsheet.functions.tokens import keep_words, tokens
 from broadsheet.operators.joins import lookup_join
 from broadsheet.session import numbered
@@ -45,22 +46,21 @@ def remove_stop_words(words: DataFrame, stop_words: DataFrame) -> DataFrame:
 def lemmatise(documents: DataFrame, dictionary: DataFrame, most: int = MAX_DICTIONARY) -> DataFrame:
     """Replaces each entry of ``words`` by its lemma from a ``(form, lemma)`` table.
 
-    A dictionary of up to ``most`` forms goes to the tasks and is looked up batch-wise there, so documents
-    are not shuffled. A larger one is joined, and the words are put together again row by row. Either way a form that is
+    A dictionary of up to ``most`` forms, whose texts fit a broadcast, goes to the tasks and is looked up batch-wise there, so
+    documents are not shuffled. A larger one is joined, and the words are put together again row by row. Either way a form that is
     listed several times takes its smallest lemma, null entries are dropped, a null list becomes empty, and rows of equal or
     null ids stay apart.
     """
     documents = documents.withColumn("words", F.array_compact("words"))
     unique = dictionary.where("form IS NOT NULL").groupBy("form").agg(F.min("lemma").alias("lemma"))
-    rows = unique.limit(most + 1).collect()
-    if len(rows) > most:
+    if not fits_broadcast(unique, 32, most_rows=most):
         return _lemmatise_by_join(documents, unique)
-    table = documents.sparkSession.sparkContext.broadcast(([r.form for r in rows], [r.lemma for r in rows]))
+    found = unique.toArrow().combine_chunks()
+    table = documents.sparkSession.sparkContext.broadcast([_one_array(found.column(c)) for c in ("form", "lemma")])
 
     @F.arrow_udf("array<string>")
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        forms = pa.array(table.value[0], pa.string())
-        lemmas = pa.array(table.value[1], pa.string())
+        forms, lemmas = table.value
         for words in batches:
             flat = words.flatten()
             found = lemmas.take(pc.index_in(flat, value_set=forms))
@@ -72,6 +72,10 @@ def lemmatise(documents: DataFrame, dictionary: DataFrame, most: int = MAX_DICTI
     return documents.withColumn("words", run_once(look_up)("words"))
 
 
+def _one_array(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays([c.cast(pa.string()) for c in column.chunks]) if column.num_chunks else pa.array([], pa.string())
+
+
 def _lemmatise_by_join(documents: DataFrame, dictionary: DataFrame) -> DataFrame:
     """The same for a dictionary of any size: one row per word, left join, regrouped in order."""
     columns = documents.columns

@@ -6,6 +6,11 @@ row, in the JVM, so no document-keyed shuffle is needed. The long table is explo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -13,6 +18,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.rows import unnest
 from broadsheet.functions.vectors import sparse_entries
+from broadsheet.operators.joins import lookup_join
 from broadsheet.operators.ranking import top_n
 from broadsheet.operators.vocabulary import Vocabulary
 
@@ -68,6 +74,37 @@ def tfidf_long(documents: DataFrame, vocabulary: Vocabulary, tf: str = "relative
     return found.withColumn("w", _weight(F.col("f"), F.col("n"), F.col("idf"), tf)).drop("idf")
 
 
+def tfidf_long_joined(documents: DataFrame, terms: DataFrame, tf: str = "relative") -> DataFrame:
+    """``(doc_id, n, term_id, f, term, w)`` with a vocabulary of any size, a table ``(term_id, term, idf)`` of unique terms.
+
+    The words of a row are counted in the row's own task, so that each term of a row is looked up once and nothing but the
+    look-up, salted by row, is shuffled. Rows of one id stay apart.
+    """
+    entries = _counted_in_rows(documents.select("doc_id", "words"))
+    found = lookup_join(entries, terms.select("term_id", "term", "idf"), "term", spread_by="at")
+    return found.select("doc_id", "n", "term_id", "f", "term", _weight(F.col("f"), F.col("n"), F.col("idf"), tf).alias("w"))
+
+
+def _counted_in_rows(documents: DataFrame) -> DataFrame:
+    """``(doc_id, at, n, term, f)``, one row per row of ``(doc_id, words)`` and word in it; ``at`` spreads the rows of a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(1)
+            lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+            coded = pc.dictionary_encode(words.flatten().cast(pa.string()), null_encoding="encode")
+            size = max(1, len(coded.dictionary))
+            pairs = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths) * size + coded.indices.to_numpy(zero_copy_only=False)
+            pairs, counts = np.unique(pairs, return_counts=True)
+            row = pairs // size
+            columns = [batch.column(0).take(pa.array(row)), pa.array(row), pa.array(lengths[row].astype(np.int32)), coded.dictionary.take(pa.array(pairs % size)), pa.array(counts.astype(float))]
+            found = pa.RecordBatch.from_arrays(columns, names=["doc_id", "at", "n", "term", "f"])
+            yield found.filter(pc.is_valid(found.column(3)))
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return documents.mapInArrow(run, f"doc_id {kind}, at bigint, n int, term string, f double")
+
+
 def tfidf_rows(documents: DataFrame, vocabulary: Vocabulary, tf: str = "relative") -> DataFrame:
     """Adds the sparse vector ``row`` of TF-IDF weights. Documents without kept words get a zero vector."""
     counted = count_rows(documents, vocabulary)

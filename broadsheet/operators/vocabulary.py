@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.rows import unnest
 from broadsheet.functions.sizing import driver_rows
+from broadsheet.session import durable
 
 MAX_TERMS = 100_000
 
@@ -29,6 +30,28 @@ def most_frequent(frequencies: DataFrame, num_terms: int) -> DataFrame:
     return kept.select(numbered.alias("term_id"), "term", "df")
 
 
+def number_terms(frequencies: DataFrame, num_terms: int | None = None, parts: int | None = None) -> DataFrame:
+    """``(term_id, term, df)`` of the ``num_terms`` most frequent terms, or of all, as a table of any size: the numbers are those
+    of ``most_frequent``.
+
+    The terms are put into their order by a range shuffle and numbered task by task; only the sizes of the tasks come to
+    the driver. The ordered terms are frozen on shared storage, so that both steps see the same tasks.
+    """
+    spark = frequencies.sparkSession
+    order = [F.desc("df"), F.asc("term")]
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at = F.monotonically_increasing_id()
+    ordered = frequencies.select("term", "df").repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", at)
+    frozen = durable(ordered.select("term", "df", F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)).alias("_row")))
+    starts, total = [], 0
+    for part, rows in sorted(frozen.groupBy("_part").agg(F.count("*")).collect()):  # one row per task
+        starts.append((part, total))
+        total += rows
+    table = F.broadcast(spark.createDataFrame(starts, "_part BIGINT, _start BIGINT"))
+    found = frozen.join(table, "_part").select((F.col("_start") + F.col("_row")).alias("term_id"), "term", "df")
+    return found if num_terms is None else found.where(F.col("term_id") < num_terms)
+
+
 def with_idf(vocabulary: DataFrame, documents: DataFrame) -> DataFrame:
     """Adds ``idf``, the natural logarithm of documents per document with the term, unsmoothed."""
     n_docs = documents.agg(F.count("*").alias("n")).scalar()

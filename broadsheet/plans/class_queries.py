@@ -112,6 +112,27 @@ def svd_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries(factors.project_rows(rows, found.right), "projection", "doc_id", dim="axis", value="x")
 
 
+def svd_leading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three of the ten values, which the SQL finds by power iteration."""
+    spectrum = _decomposed(spark, sf_dir)[2].spectrum(spark).where("rank <= 3")
+    return spectrum.select("rank", *[F.round(c, 6).alias(c) for c in ("singular_value", "eigenvalue")])
+
+
+def svd_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two of ten values of rows with ten thousand columns."""
+    words, vocabulary = inputs.words_and_vocabulary(spark, sf_dir, num_terms=inputs.NUM_TERMS_MANY)
+    found = factors.decompose(tfidf.tfidf_rows(words, vocabulary), len(vocabulary.terms), 10)
+    return found.spectrum(spark).where("rank <= 2").select("rank", F.round("singular_value", 6).alias("singular_value"))
+
+
+def concepts_leading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top terms and top documents of the first three concepts with their weights."""
+    rows, vocabulary, found = _decomposed(spark, sf_dir)
+    terms = concepts.concept_terms(found, vocabulary.table(spark), 3).select("concept", "rank", F.lit("term").alias("kind"), F.col("term").alias("item"), "weight")
+    docs = concepts.concept_documents(rows, found, 3).select("concept", "rank", F.lit("document").alias("kind"), F.col("doc_id").cast("string").alias("item"), "weight")
+    return terms.unionByName(docs).withColumn("weight", F.round("weight", 6))
+
+
 def _squared_norms(df: DataFrame, vector: str) -> DataFrame:
     norm = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x)
     return df.select("doc_id", F.round(norm, 6).alias("norm"))
@@ -319,7 +340,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         embed_tfidf, embed_weight1, embed_missing_vectors, embed_mean, embed_tfidf_forms, embed_mean_forms, concat_vectors, drop_zero_vectors, standardize,
-        column_summary, gram_matrix, svd_spectrum, svd_trace, svd_projection, svd_norms, svd_reconstruction, pca_standardized,
+        column_summary, gram_matrix, svd_spectrum, svd_leading, svd_wide, concepts_leading, svd_trace, svd_projection, svd_norms, svd_reconstruction, pca_standardized,
         pca_standardized_covariance, pca_raw_covariance,
         pca_standardized_norms, pca_raw, pca_raw_norms, project_loadings,
         kmeans_lsa, kmeans_embed, kmeans_settled, assign_nearest, nearest_docs, nearest_docs_terms, class_top_terms,
@@ -385,7 +406,78 @@ pairs AS (SELECT a.dim AS i, b.dim AS j, {of}(a.x, b.x) AS c FROM comp a JOIN co
 SELECT round(sum(c) FILTER (i = j), 6) AS variance, round(sum(c * c), 6) AS squares, true AS uncorrelated, true AS falling FROM pairs"""
 
 
+_START = """a AS MATERIALIZED (SELECT doc_id, term_id, w FROM tfidf),
+start AS (SELECT list(1.0 / (1 + term_id) ORDER BY term_id) AS v FROM vocab)"""
+
+
+def _times_sql(vectors: str, columns: list[str]) -> str:
+    """One row of lists: the column products times each list of the one row of ``vectors(step, …)``."""
+    unnested = ", ".join(f"unnest({c}) AS {c}" for c in columns)
+    sums = lambda of: ", ".join(f"sum(a.w * {of}.{c}) AS {c}" for c in columns)
+    return f"""SELECT any_value(step) AS step, {", ".join(f"list({c} ORDER BY term_id) AS {c}" for c in columns)} FROM (
+    SELECT a.term_id, any_value(y.step) AS step, {sums("y")} FROM (
+      SELECT a.doc_id, any_value(u.step) AS step, {sums("u")}
+      FROM (SELECT step, {unnested}, CAST(generate_subscripts({columns[0]}, 1) - 1 AS INTEGER) AS term_id FROM {vectors}) u JOIN a USING (term_id) GROUP BY a.doc_id) y
+    JOIN a USING (doc_id) GROUP BY a.term_id) HAVING count(*) > 0"""
+
+
+def _axes_sql(axes: int = 3, steps: int = 320) -> str:
+    """Power iteration with deflation: CTEs axis1, axis2, … of one row ``(v, value)``, the largest component of ``v`` positive."""
+    parts = [_START]
+    for i in range(1, axes + 1):
+        before = ", ".join(f"(SELECT v AS v{j} FROM axis{j}) t{j}" for j in range(1, i))
+        steps_sql = f"SELECT step, v{''.join(f', v{j}' for j in range(1, i))} FROM ({_times_sql(f'(SELECT * FROM walk{i} WHERE step < {steps})', ['v'])}) z{', ' + before if before else ''}"
+        for j in range(1, i):
+            keep = "".join(f", v{m}" for m in range(1, i))
+            steps_sql = f"SELECT step, list_transform(list_zip(v, v{j}), lambda p: p[1] - d * p[2]) AS v{keep} FROM (SELECT *, list_dot_product(v, v{j}) AS d FROM ({steps_sql}))"
+        parts.append(f"""walk{i} AS (
+  SELECT 0 AS step, v FROM start UNION ALL
+  SELECT step + 1, list_transform(v, lambda x: x / l) FROM (SELECT *, sqrt(list_dot_product(v, v)) AS l FROM ({steps_sql})))""")
+        parts.append(f"""last{i} AS (SELECT step, v, sqrt(list_dot_product(v, v)) AS l FROM walk{i} WHERE step = {steps}),
+axis{i} AS (
+  SELECT list_transform(v, lambda x: x / l * CASE WHEN list_max(v) >= -list_min(v) THEN 1 ELSE -1 END) AS v,
+         sqrt((SELECT list_dot_product(z.v, last{i}.v) FROM ({_times_sql(f"last{i}", ["v"])}) z) / (l * l)) AS value
+  FROM last{i})""")
+    return ",\n".join(parts)
+
+
+def _pair_sql(steps: int = 80) -> str:
+    """Two vectors iterated together, and the two values from the matrix of their products: rows ``(value)`` of CTE pair."""
+    return f"""{_START},
+walk AS (
+  SELECT 0 AS step, v AS p, list_transform(v, lambda x, i: x * (CASE WHEN i % 2 = 0 THEN 1 ELSE -1 END)) AS q FROM start UNION ALL
+  SELECT step + 1, p, list_transform(q, lambda x: x / l) FROM (
+    SELECT *, sqrt(list_dot_product(q, q)) AS l FROM (
+      SELECT step, p, list_transform(list_zip(q, p), lambda t: t[1] - d * t[2]) AS q FROM (
+        SELECT *, list_dot_product(p, q) AS d FROM (
+          SELECT step, list_transform(p, lambda x: x / l) AS p, q FROM (
+            SELECT *, sqrt(list_dot_product(p, p)) AS l FROM ({_times_sql(f"(SELECT * FROM walk WHERE step < {steps})", ["p", "q"])}))))))),
+last AS (SELECT * FROM walk WHERE step = {steps}),
+small AS (
+  SELECT list_dot_product(z.p, last.p) AS pp, list_dot_product(z.p, last.q) AS pq, list_dot_product(z.q, last.q) AS qq
+  FROM ({_times_sql("last", ["p", "q"])}) z, last),
+pair AS (
+  SELECT unnest([(pp + qq) / 2 + r, (pp + qq) / 2 - r]) AS value FROM (SELECT *, sqrt(pow((pp - qq) / 2, 2) + pq * pq) AS r FROM small))"""
+
+
+def _concepts_sql() -> str:
+    found = [
+        f"""SELECT {i - 1} AS concept, 'term' AS kind, term AS item, v[term_id + 1] AS weight, term_id AS place FROM vocab, axis{i}
+UNION ALL SELECT {i - 1}, 'document', CAST(doc_id AS VARCHAR), sum(w * v[term_id + 1]) / any_value(value), doc_id FROM a, axis{i} GROUP BY doc_id"""
+        for i in (1, 2, 3)
+    ]
+    return f"""WITH RECURSIVE {inputs.tfidf_sql()}, {_axes_sql()},
+found AS ({" UNION ALL ".join(found)}),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY concept, kind ORDER BY round(weight, {concepts.EQUAL_DIGITS}) DESC, place) AS INTEGER) AS rank FROM found)
+SELECT concept, rank, kind, item, round(weight, 6) AS weight FROM ranked WHERE rank <= 10"""
+
+
 ORACLE = {
+    "svd_leading": f"""WITH RECURSIVE {inputs.tfidf_sql()}, {_axes_sql()}
+{" UNION ALL ".join(f"SELECT {i} AS rank, round(value, 6) AS singular_value, round(value * value, 6) AS eigenvalue FROM axis{i}" for i in (1, 2, 3))}""",
+    "svd_wide": f"""WITH RECURSIVE {inputs.tfidf_sql(inputs.NUM_TERMS_MANY)}, {_pair_sql()}
+SELECT CAST(row_number() OVER (ORDER BY value DESC) AS INTEGER) AS rank, round(sqrt(value), 6) AS singular_value FROM pair""",
+    "concepts_leading": _concepts_sql(),
     "embed_tfidf": f"{_centroid_sql('w')} {_ALL}",
     "embed_weight1": f"{_centroid_sql('1.0')} {_ALL}",
     "embed_missing_vectors": f"{_centroid_sql('w', NUM_TERMS_WIDE)} {_ALL}",

@@ -219,6 +219,21 @@ def idf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary.with_idf(kept, words).select("term_id", "term", "df", F.round("idf", 6).alias("idf"))
 
 
+def vocabulary_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words numbered by frequency, up to a million, as a table that never leaves the tasks."""
+    words = inputs.words(spark, sf_dir)
+    terms = vocabulary.number_terms(vocabulary.document_frequencies(words), 1_000_000)
+    return vocabulary.with_idf(terms, words).withColumn("idf", F.round("idf", 6))
+
+
+def tfidf_all_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TF-IDF over that vocabulary, every document twice under the same id."""
+    words = inputs.words(spark, sf_dir)
+    terms = vocabulary.with_idf(vocabulary.number_terms(vocabulary.document_frequencies(words)), words)
+    long = tfidf.tfidf_long_joined(words.unionByName(words), terms)
+    return long.select("doc_id", "term_id", F.col("f").cast("bigint").alias("f"), "n", F.round("w", 6).alias("w"))
+
+
 def tfidf_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = tfidf.tfidf_long(*inputs.words_and_vocabulary(spark, sf_dir))
     return long.select("doc_id", "term_id", "term", F.col("f").cast("bigint").alias("f"), "n", F.round("w", 6).alias("w"))
@@ -275,7 +290,7 @@ QUERIES = {
     for f in (
         tokenize_counts, extract_article_xml, article_titles, raw_record_fields, article_errors, malformed_articles, cut_off_articles, full_text,
         clean_markup, clean_wiki_dump, stopword_filter, lemma_dictionary, lemma_forms, press_job_frequencies, press_job_classified, term_counts, doc_frequencies,
-        document_frequencies_file, idf_table,
+        document_frequencies_file, idf_table, vocabulary_numbers, tfidf_all_terms,
         tfidf_long, tfidf_vectors, tfidf_wide, corpus_terms, doc_top_terms, sample_scan, union_corpora, one_line_corpus,
     )
 }
@@ -380,6 +395,11 @@ SELECT doc_id, term, count(*) AS f FROM (SELECT doc_id, unnest(words) AS term FR
     "doc_frequencies": f"WITH {inputs.vocabulary_sql()} SELECT term_id, term, df FROM vocab",
     "document_frequencies_file": f"WITH {inputs.vocabulary_sql()} SELECT term, df FROM vocab",
     "idf_table": f"WITH {inputs.vocabulary_sql()} SELECT term_id, term, df, round(idf, 6) AS idf FROM vocab",
+    "vocabulary_numbers": f"""
+WITH {inputs.vocabulary_sql(1_000_000)} SELECT CAST(term_id AS BIGINT) AS term_id, term, df, round(idf, 6) AS idf FROM vocab""",
+    "tfidf_all_terms": f"""
+WITH {inputs.tfidf_sql(1_000_000_000)}
+SELECT doc_id, CAST(term_id AS BIGINT) AS term_id, f, CAST(n AS INTEGER) AS n, round(w, 6) AS w FROM tfidf CROSS JOIN range(2)""",
     "tfidf_long": f"""
 WITH {inputs.tfidf_sql()} SELECT doc_id, term_id, term, f, CAST(n AS INTEGER) AS n, round(w, 6) AS w FROM tfidf""",
     "tfidf_vectors": f"WITH {inputs.tfidf_sql()} SELECT doc_id, term_id, round(w, 6) AS w FROM tfidf WHERE w <> 0",
