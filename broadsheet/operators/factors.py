@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.sizing import BROADCAST_BYTES
 from broadsheet.functions.vectors import project, project_sparse, sparse_parts, sparse_product
+from broadsheet.operators.blocks import SCHEMA, added_up, block_batches
 from broadsheet.session import durable
 
 MAX_COLUMNS = 4096
@@ -97,25 +98,12 @@ def _block_product(rows: DataFrame, width: int) -> Callable[[np.ndarray], np.nda
                     some = order[start : start + step]
                     first = np.flatnonzero(np.r_[True, at[some][1:] != at[some][:-1]])
                     total[at[some][first]] += np.add.reduceat(x[some, None] * projected[row[some]], first, axis=0)
-            chunks = range(0, width, CHUNK_COLUMNS)
-            used = [c for c in chunks if total[c : c + CHUNK_COLUMNS].any()]
-            sums = [total[c : c + CHUNK_COLUMNS].tobytes() for c in used]
-            for c, s in zip(used, sums, strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([s], pa.binary())], names=["chunk", "sums"])
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            totals: dict[int, np.ndarray] = {}
-            for batch in batches:
-                for c, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    part = np.frombuffer(s)
-                    totals[c] = totals[c] + part if c in totals else part
-            for c, s in totals.items():
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([s.tobytes()], pa.binary())], names=["chunk", "sums"])
+            chunks = {c: total[c : c + CHUNK_COLUMNS] for c in range(0, width, CHUNK_COLUMNS)}
+            yield from block_batches({c: block for c, block in chunks.items() if block.any()})
 
-        schema = "chunk int, sums binary"
         out = np.zeros((width, height))
-        for r in rows.mapInArrow(multiply, schema).repartition("chunk").mapInArrow(add, schema).toLocalIterator():
-            out[r.chunk : r.chunk + CHUNK_COLUMNS] = np.frombuffer(r.sums).reshape(-1, height)
+        for c, sums in added_up(rows.mapInArrow(multiply, SCHEMA)).items():
+            out[c : c + CHUNK_COLUMNS] = sums.reshape(-1, height)
         shared.unpersist()
         return out
 
@@ -175,9 +163,10 @@ def _matrix_batch(matrix: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(matrix).tobytes()], pa.binary())], names=["factor"])
 
 
-def decompose(df: DataFrame, width: int, k: int, vector: str = "row", square_columns: int = MAX_COLUMNS) -> Decomposition:
-    """The ``k`` largest singular values of the uncentred rows: up to ``square_columns`` columns by one pass over them."""
-    if width > square_columns:
+def decompose(df: DataFrame, width: int, k: int, vector: str = "row", square_columns: int | None = None) -> Decomposition:
+    """The ``k`` largest singular values of the uncentred rows: up to ``square_columns`` columns, by default ``MAX_COLUMNS``, by
+    one pass over them."""
+    if width > (MAX_COLUMNS if square_columns is None else square_columns):
         positions, values = sparse_parts(vector)
         rows = durable(df.select(positions.alias("positions"), values.alias("values")))
         right = _top_vectors(_block_product(rows, width), width, min(k, width))

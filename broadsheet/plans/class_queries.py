@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions import tokens as tok
 from broadsheet.functions import vectors as vec
+from broadsheet.functions.rows import unnest
 from broadsheet.functions.sizing import BROADCAST_BYTES
 from broadsheet.operators import centroids, clusters, concepts, density, factors, tfidf, timeline
 from broadsheet.plans import inputs, press
@@ -162,8 +163,9 @@ def svd_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _covariances(projected: DataFrame) -> DataFrame:
     """What the covariances of the axes have to be: none between axes, falling on them, and the whole variance in two powers."""
-    pairs = F.flatten(F.transform("projection", lambda x, i: F.transform("projection", lambda y, j: F.struct(i.alias("i"), j.alias("j"), x.alias("x"), y.alias("y")))))
-    cov = projected.select(F.explode(pairs).alias("p")).groupBy("p.i", "p.j").agg(F.covar_samp("p.x", "p.y").alias("c"))
+    ready = projected.select(array_to_vector("projection").alias("row"))
+    square = factors.row_matrix(ready).computeCovariance().toArray()
+    cov = factors.gram_table(projected.sparkSession, square).withColumnRenamed("value", "c")
     falling = F.array_sort(F.collect_list(F.when(F.col("i") == F.col("j"), F.struct("i", "c"))))["c"]
     return cov.agg(
         F.round(F.sum(F.when(F.col("i") == F.col("j"), F.col("c"))), 6).alias("variance"),
@@ -239,6 +241,38 @@ def kmeans_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("doc_id", (F.sqrt(own) <= F.sqrt(F.array_min("distances")) + 2e-4).alias("nearest"))
 
 
+def kmeans_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best of four runs: classes of the documents are those of the nearest centre, and each centre is the mean of its
+    members, to within the tolerance of the iteration."""
+    rows = inputs.dense(spark, sf_dir).select("doc_id", "vector", array_to_vector("vector").alias("row"))
+    model = clusters.fit_classes(rows, runs=4)
+    stored = durable(clusters.assign_classes(rows, model).select("doc_id", "vector", "class"))
+    centers = clusters.centers_table(spark, clusters.model_centers(model))
+    members = unnest(stored, ["class"], "vector", "x", at="term_id").groupBy("class", "term_id").agg(F.avg("x").alias("mean"))
+    close = centers.join(members, ["class", "term_id"]).select("class", F.col("term_id").alias("dim"), (F.abs(F.col("weight") - F.col("mean")) < 1e-3).alias("close"))
+    return close.where("close").groupBy("dim").agg(F.count("*").alias("centers"))
+
+
+def spectrum_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spectrum as its file has it, one number a line."""
+    path = scratch_path(spark, "spectrum")
+    tables.write_spectrum(_decomposed(spark, sf_dir)[2].spectrum(spark).where("rank <= 3"), path)
+    return spark.read.schema("eigenvalue DOUBLE").csv(path).select(F.round("eigenvalue", 6).alias("eigenvalue"))
+
+
+def vector_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors after a round trip as columns of a file, and as texts."""
+    dense = inputs.dense(spark, sf_dir)
+    path, lines = scratch_path(spark, "vectors"), scratch_path(spark, "lines")
+    tables.write_vectors(dense, path, "vector", WIDTH)
+    tables.write_text(dense.select(F.concat("doc_id", F.lit(":"), vec.vector_text("vector")).alias("line")), lines)
+    columns = F.array(*[f"v{i + 1}" for i in range(WIDTH)]).alias("vector")
+    first = tables.read_vectors(spark, path, WIDTH).select(F.lit("columns").alias("form"), "doc_id", columns)
+    parts = F.split("value", ":")
+    second = spark.read.text(lines).select(F.lit("text").alias("form"), parts[0].cast("bigint").alias("doc_id"), F.split(parts[1], ",").cast("array<double>").alias("vector"))
+    return entries(first.unionByName(second), "vector", "form", "doc_id")
+
+
 def _label_centers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[list[float]]]:
     dense = inputs.dense(spark, sf_dir)
     return dense.drop("class"), clusters.class_means(dense, "class", "vector", WIDTH)
@@ -343,7 +377,7 @@ QUERIES = {
         column_summary, gram_matrix, svd_spectrum, svd_leading, svd_wide, concepts_leading, svd_trace, svd_projection, svd_norms, svd_reconstruction, pca_standardized,
         pca_standardized_covariance, pca_raw_covariance,
         pca_standardized_norms, pca_raw, pca_raw_norms, project_loadings,
-        kmeans_lsa, kmeans_embed, kmeans_settled, assign_nearest, nearest_docs, nearest_docs_terms, class_top_terms,
+        spectrum_file, vector_files, kmeans_lsa, kmeans_embed, kmeans_settled, kmeans_runs, assign_nearest, nearest_docs, nearest_docs_terms, class_top_terms,
         concept_terms_docs, corpus_span, class_timeline, class_timeline_labelled, hexbin_counts, classes_in_space,
         classified_output, classified_csv, train_word_vectors,
     )
@@ -521,6 +555,11 @@ FROM sums GROUP BY i""",
     "pca_standardized_covariance": _covariance_sql("corr"),
     "pca_raw_covariance": _covariance_sql("covar_samp"),
     "kmeans_settled": "SELECT vec_id AS doc_id, true AS nearest FROM embeddings",
+    "kmeans_runs": f"SELECT CAST(unnest(range({WIDTH})) AS INTEGER) AS dim, CAST(10 AS BIGINT) AS centers",
+    "spectrum_file": f"""WITH RECURSIVE {inputs.tfidf_sql()}, {_axes_sql()}
+{" UNION ALL ".join(f"SELECT round(value * value, 6) AS eigenvalue FROM axis{i}" for i in (1, 2, 3))}""",
+    "vector_files": f"""
+WITH {inputs.COMPONENTS_SQL} SELECT form, doc_id, dim, round(x, 6) + 0.0 AS x FROM comp CROSS JOIN (VALUES ('columns'), ('text')) f(form)""",
     "embed_tfidf_forms": _forms_sql(f"{_centroid_sql('w')} {_ALL}"),
     "embed_mean_forms": _forms_sql(_MEAN),
     "pca_standardized_norms": f"""

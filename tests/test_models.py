@@ -237,3 +237,78 @@ def test_square_matrix_leaves_the_driver_by_rows(spark):
     assert sent == [3] and table.dtypes == [("i", "int"), ("j", "int"), ("value", "double")]
     assert sorted(map(tuple, table.collect())) == [(i, j, gram[i, j]) for i in range(3) for j in range(3)]
     assert factors.gram_table(spark, np.zeros((0, 0))).count() == 0
+
+
+def test_wide_decompositions_equal_narrow_ones_and_keep_small_values(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(1)
+    a = (rng.random((300, 50)) < 0.15) * rng.random((300, 50))
+    a[:, 44:] *= 1e-6
+    a[7] = 0
+    rows = [(i, Vectors.sparse(50, [(j, float(x)) for j, x in enumerate(r) if x])) for i, r in enumerate(a)]
+    df = spark.createDataFrame(rows, ["doc_id", "row"]).repartition(5)
+    true = np.linalg.svd(a, compute_uv=False)
+    wide, narrow = factors.decompose(df, 50, 8, square_columns=0), factors.decompose(df, 50, 8)
+    assert wide.values == pytest.approx(true[:8], rel=1e-10)
+    assert wide.right == pytest.approx(narrow.right, abs=1e-7)
+    every = factors.decompose(df, 50, 50, square_columns=0)
+    assert every.values == pytest.approx(true, rel=1e-7) and true[-1] < 1e-5
+    assert every.right.T @ every.right == pytest.approx(np.eye(50), abs=1e-10)
+
+
+def test_runs_of_kmeans_share_their_passes(spark, cloud, monkeypatch):
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(4, 3)) * 30
+    points = np.vstack([m + rng.normal(size=(40, 3)) for m in middles])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "doc_id BIGINT, vector ARRAY<DOUBLE>")
+    df = df.withColumn("row", array_to_vector("vector")).repartition(4)
+    passes = []
+    one_pass = clusters._class_sums
+    monkeypatch.setattr(clusters, "_class_sums", lambda rows, centers: passes.append(len(centers)) or one_pass(rows, centers))
+    centers, costs = clusters.fit_runs(df, "row", 4, runs=6)
+    assert len(costs) == 6 and passes[0] == 6 and len(passes) < 40 and passes == sorted(passes, reverse=True)
+    single = clusters.fit_classes(df, k=4)
+    assert min(costs) <= single.summary.trainingCost * (1 + 1e-6)
+    found = ((points[:, None] - centers[None]) ** 2).sum(axis=2).min(axis=1).sum()
+    assert min(costs) == pytest.approx(found, rel=1e-3)
+    model = clusters.fit_classes(df, k=4, runs=6)
+    assert np.sort(np.array(clusters.model_centers(model)), axis=0) == pytest.approx(np.sort(centers, axis=0))
+    assert clusters.assign_classes(df, model).select("class").distinct().count() == 4
+
+
+def test_concept_documents_keep_candidates_per_task(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from broadsheet.operators import concepts
+
+    rng = np.random.default_rng(2)
+    a = rng.random((90, 5))
+    a[10:20] = a[0]  # equal documents: ties by id
+    rows = [(i, Vectors.dense(r)) for i, r in enumerate(a)] + [(None, Vectors.dense(np.ones(5) * 9))]
+    df = spark.createDataFrame(rows, ["doc_id", "row"])
+    found = factors.decompose(df.where("doc_id IS NOT NULL"), 5, 3)
+    got = {(r.concept, r["rank"]): r.doc_id for r in concepts.concept_documents(df.repartition(7), found, 3, 12).collect()}
+    left = (a @ found.right / found.values).round(10)
+    for c in range(3):
+        expected = sorted(range(90), key=lambda i: (-left[i, c], i))[:12]
+        assert [got[c, r + 1] for r in range(12)] == expected
+
+
+def test_terms_are_numbered_alike_on_the_driver_and_as_a_table(spark):
+    from broadsheet.operators import vocabulary
+
+    docs = spark.createDataFrame([(i, [f"w{j}" for j in range(i % 7, 40)]) for i in range(60)], "doc_id BIGINT, words ARRAY<STRING>")
+    frequencies = vocabulary.document_frequencies(docs)
+    expected = sorted(map(tuple, vocabulary.most_frequent(frequencies, 25).collect()))
+    assert sorted(map(tuple, vocabulary.number_terms(frequencies, 25, parts=6).collect())) == expected
+    assert [r.term_id for r in vocabulary.number_terms(frequencies).orderBy("term_id").collect()] == list(range(40))
+    assert vocabulary.number_terms(frequencies.limit(0)).count() == 0
+
+
+def test_broadcasts_are_bounded_by_their_texts(spark):
+    from broadsheet.functions.sizing import fits_broadcast
+
+    few = spark.createDataFrame([("x" * 1000, ["y" * 500, None], 1), (None, None, 2)], "a STRING, b ARRAY<STRING>, c INT")
+    assert fits_broadcast(few, 10, 1552) and not fits_broadcast(few, 10, 1551)
+    assert not fits_broadcast(few, 10, 10_000, most_rows=1) and fits_broadcast(few.limit(0), 10, 0)

@@ -98,3 +98,26 @@ def test_shared_folder_is_the_one_the_session_names():
 def test_result_does_not_depend_on_the_order_of_input(spark, order):
     rows = [(i, START + timedelta(hours=i % 7), "ab"[i % 2]) for i in range(60)]
     assert counted(spark, rows if order == "rows" else rows[::-1]) == naive(rows)
+
+
+def test_time_line_shuffles_its_rows_once(spark, monkeypatch):
+    """One exchange of the rows before they are frozen, none after, and no window over everything."""
+    plans = []
+    freeze = timeline.durable
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return freeze(df)
+
+    monkeypatch.setattr(timeline, "durable", watched)
+    rows = spark.range(500).selectExpr("id AS doc_id", "timestamp_seconds(id % 50) AS date", "CASE WHEN id % 3 > 0 THEN id % 3 END AS class")
+    out = timeline.class_timeline(rows, parts=5)
+    got = sorted(((r.date, r["class"] is not None, r["class"] or 0, r.doc_id, r.csum, r.total) for r in out.collect()))
+    assert plans[0].count("Exchange") == 1
+    assert "SinglePartition" not in plans[1]
+    final = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in final and "Repartition" not in final
+    seen = {}
+    for i, (_, known, c, _, csum, total) in enumerate(got, 1):
+        seen[known, c] = seen.get((known, c), 0) + 1
+        assert (csum, total) == (seen[known, c], i)
