@@ -4,11 +4,15 @@ Documents arrive in batches. A batch's line keys are merge-anti-joined with the
 run of their own, all others are noted as sightings. Runs of one level are merged into one of the next level when there
 are enough of them, so that a batch meets few runs. A key is in one run only; its first holder and its sightings together
 give the number of documents that hold it.
+
+Runs are tables bucketed and sorted by key, below the shared folder. A batch is shuffled by key once, into the same buckets;
+from then on joins, merges of runs and the writing of new ones go on bucket by bucket, and no run is shuffled or sorted.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,55 +59,65 @@ def document_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN
 
 
 class Runs:
-    """Sorted runs in the shared folder by level, and the sightings of keys that a run had already."""
+    """Sorted runs by level, and the tables of all batches, whose known keys are sightings."""
 
     def __init__(self, spark: SparkSession, fan_out: int = FAN_OUT):
         self.spark, self.fan_out = spark, fan_out
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
         self.seen: list[DataFrame] = []
+        self.names: list[str] = []
 
     def _write(self, rows: DataFrame) -> DataFrame:
-        path = scratch_path(self.spark, "run")
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
-
-    def _all(self) -> DataFrame | None:
-        runs = [run for level in self.levels for run in level]
-        out = None
-        for run in runs:
-            out = run if out is None else out.unionByName(run)
-        return out
+        """``rows`` as a table bucketed and sorted by key. They come in the buckets' own partitions, so that each bucket is one file."""
+        name = f"run_{uuid.uuid4().hex}"
+        sorted_scans = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+        before = self.spark.conf.get(sorted_scans)
+        self.spark.conf.set(sorted_scans, "true")  # the one file of a bucket is read in its order
+        try:
+            rows.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).format("parquet").option("path", scratch_path(self.spark, name)).saveAsTable(name)
+        finally:
+            self.spark.conf.set(sorted_scans, before)
+        self.names.append(name)
+        return self.spark.table(name)
 
     def add(self, lines: DataFrame) -> None:
         """Adds one batch of ``(h1, h2, doc_id)`` rows."""
         keys = lines.distinct().groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
-        runs = self._all()
-        if runs is None:
-            new = keys
-        else:
-            keys = durable(keys)
-            new = keys.join(runs.select(*KEY).hint("merge"), KEY, "left_anti")
-            self.seen.append(keys.join(runs.select(*KEY).hint("merge"), KEY, "left_semi"))
-        self._push(0, self._write(new.repartition(*KEY).sortWithinPartitions(*KEY)))
+        known = F.lit(False)
+        for i, run in enumerate(r for level in self.levels for r in level):
+            keys = keys.join(run.select(*KEY, F.lit(True).alias(f"in_{i}")).hint("merge"), KEY, "left")
+            known = known | F.col(f"in_{i}").isNotNull()
+        batch = self._write(keys.select(*KEY, "n", "last", known.alias("known")))
+        self.seen.append(batch.where("known").drop("known"))
+        self._push(0, batch.where("NOT known").drop("known"))
 
     def _push(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fan_out:
-            merged = self.levels[level][0]
-            for other in self.levels[level][1:]:
-                merged = merged.unionByName(other)
+            merged, *others = self.levels[level]
+            for other in others:  # no key is in both: a merge of the sorted rows
+                right = other.select(*KEY, F.col("n").alias("n_"), F.col("last").alias("last_"))
+                merged = merged.join(right.hint("merge"), KEY, "full").select(*KEY, F.coalesce("n", "n_").alias("n"), F.coalesce("last", "last_").alias("last"))
             self.levels[level] = []
-            self._push(level + 1, self._write(merged.repartition(*KEY).sortWithinPartitions(*KEY)))
+            self._push(level + 1, self._write(merged))
 
     def totals(self) -> DataFrame:
         """``(h1, h2, n, last)``: documents that hold a key and the largest id among them."""
-        out = self._all()
-        for seen in self.seen:
-            out = out.unionByName(seen)
+        parts = [run for level in self.levels for run in level] + self.seen
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
         return out.groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("last").alias("last"))
 
+    def forget(self) -> None:
+        """Takes the tables out of the session's catalogue; their files stay in the shared folder."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE {name}")
+        self.names = []
+
 
 def dedup_lines(
     docs: DataFrame, batches: int = BATCHES, fan_out: int = FAN_OUT, min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS
@@ -123,6 +137,7 @@ def dedup_lines(
     for batch in range(batches):
         runs.add(stored.where(F.col("batch") == batch).select(*KEY, "doc_id"))
     frequent = durable(runs.totals().where(F.col("n") >= min_documents))
+    runs.forget()
     repeated = join_on_counted(stored.select(*KEY, "doc_id"), frequent, KEY, "n").where(
         ~F.col("doc_id").eqNullSafe(F.col("last"))
     )
