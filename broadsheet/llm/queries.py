@@ -45,7 +45,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text"), keep="lang")
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
