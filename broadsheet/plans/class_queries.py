@@ -296,9 +296,7 @@ def nearest_docs_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def class_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     words, vocabulary = inputs.words_and_vocabulary(spark, sf_dir, "source")
-    sums = tfidf.tfidf_long(words, vocabulary).groupBy("source", "term_id").agg(F.sum("w").alias("w"))
-    sizes = inputs.table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("docs"))
-    weights = sums.join(sizes, "source").select(F.col("source").alias("class"), "term_id", (F.col("w") / F.col("docs")).alias("weight"))
+    weights = clusters.class_weights(tfidf.tfidf_rows(words, vocabulary), "source")
     top = clusters.class_top_terms(weights, vocabulary.table(spark))
     return top.withColumn("weight", F.round("weight", 6))
 

@@ -312,3 +312,11 @@ def test_broadcasts_are_bounded_by_their_texts(spark):
     few = spark.createDataFrame([("x" * 1000, ["y" * 500, None], 1), (None, None, 2)], "a STRING, b ARRAY<STRING>, c INT")
     assert fits_broadcast(few, 10, 1552) and not fits_broadcast(few, 10, 1551)
     assert not fits_broadcast(few, 10, 10_000, most_rows=1) and fits_broadcast(few.limit(0), 10, 0)
+
+
+def test_class_weights_are_means_of_sparse_rows(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [("a", Vectors.sparse(4, {0: 2.0, 3: 1.0})), ("a", Vectors.dense([0.0, 4.0, 0.0, 0.0])), (None, Vectors.sparse(4, {2: 5.0})), ("b", Vectors.sparse(4, {}))]
+    found = clusters.class_weights(spark.createDataFrame(rows, ["kind", "row"]).repartition(3), "kind").collect()
+    assert sorted(((r["class"] or "", r.term_id, r.weight) for r in found)) == [("", 2, 5.0), ("a", 0, 1.0), ("a", 1, 2.0), ("a", 3, 0.5)]
