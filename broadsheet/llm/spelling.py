@@ -86,7 +86,7 @@ def reduced(words: list[str], symbols: int = SYMBOLS) -> np.ndarray:
 
 def _powers(n: int) -> np.ndarray:
     out = np.full(n, _BASE, np.uint64)
-    out[0] = 1
+    out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 

@@ -155,7 +155,7 @@ def spectra():
     yield "single", np.array([[2.0]]), 16
 
 
-@pytest.mark.parametrize("name, matrix, k", spectra(), ids=lambda v: v if isinstance(v, str) else "")
+@pytest.mark.parametrize("name, matrix, k", list(spectra()), ids=lambda v: v if isinstance(v, str) else "")
 def test_eigenvectors_are_of_double_precision(name, matrix, k):
     values, vectors = whitening.jacobi_davidson(lambda b: matrix @ b, len(matrix), k)
     true = np.linalg.eigvalsh(matrix)[::-1][: len(values)]
