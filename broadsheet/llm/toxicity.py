@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -31,6 +32,7 @@ LEAST_CHI = 10.0
 PREFIXES = (4, 5, 6, 7, 8)
 PENALTY = 2.0  # of a squared change of score by swapping
 L2 = 0.002
+TERM_SCALE = 0.5  # least scale of a feature of an identity term
 SURE = 2.5  # standard errors on either side of the share of documents that have a feature
 STEPS = 400
 CACHED_WORDS = 500_000
@@ -69,6 +71,20 @@ def swapped(text: bytes, terms: Sequence[Sequence[str]] = IDENTITY_TERMS) -> byt
     return out if n else None
 
 
+def renamed(words: set[bytes], text: bytes, terms: Sequence[Sequence[str]] = IDENTITY_TERMS) -> tuple[set[bytes], set[bytes]]:
+    """Two versions of a text's words that name different groups: as they are and ``swapped``; without identity terms, with
+    one of two neighbouring terms of a kind added, dealt out by the text's hash."""
+    kinds = [[t.encode() for t in kind] for kind in terms if len(kind) > 1]
+    if not kinds:
+        return words, words
+    following = {a: b for kind in kinds for a, b in zip(kind, [*kind[1:], kind[0]], strict=True)}
+    if not words.isdisjoint(following):
+        return words, {following.get(w, w) for w in words}
+    named = sorted(following)
+    term = named[zlib.crc32(text) % len(named)]
+    return words | {term}, words | {following[term]}
+
+
 @dataclass
 class Model:
     features: dict[int, int]
@@ -77,8 +93,11 @@ class Model:
 
     def counts(self, text: bytes, cache: dict[bytes, tuple[int, ...]]) -> dict[int, int]:
         """Per feature of the model the number of distinct words that have it."""
+        return self.counts_of(set(words_of(text)), cache)
+
+    def counts_of(self, words: set[bytes], cache: dict[bytes, tuple[int, ...]]) -> dict[int, int]:
         out: dict[int, int] = {}
-        for word in set(words_of(text)):
+        for word in words:
             known = cache.get(word)
             if known is None:
                 if len(cache) >= CACHED_WORDS:
@@ -93,8 +112,8 @@ class Model:
         return 1 / (1 + math.exp(-min(30.0, max(-30.0, float(z)))))
 
 
-def _chosen(sample: DataFrame, most: int) -> dict[int, float]:
-    """Features of the largest chi-square between the classes of the sample, and the scale of each."""
+def _chosen(sample: DataFrame, most: int, terms: Sequence[Sequence[str]]) -> dict[int, float]:
+    """Features of the largest chi-square between the classes of the sample and those of ``terms``, and the scale of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, 128):
@@ -112,8 +131,13 @@ def _chosen(sample: DataFrame, most: int) -> dict[int, float]:
     counts = sample.select("text", "y").mapInArrow(run, "f bigint, pos bigint, neg bigint").groupBy("f").agg(F.sum("pos").alias("a"), F.sum("neg").alias("b"))
     both = F.col("a") + F.col("b")
     chi = (p + q) * F.pow(F.col("a") * q - F.col("b") * p, 2) / (both * (p + q - both) * p * q)
-    rows = counts.where((both >= LEAST_DOCUMENTS) & (both < p + q)).select("f", "a", "b", chi.alias("chi")).where(F.col("chi") >= LEAST_CHI)
-    return {r.f: _scale(r.a, r.b, p, q) for r in rows.orderBy(F.desc("chi"), "f").limit(most).collect()}
+    kept = durable(counts.where((both >= LEAST_DOCUMENTS) & (both < p + q)).select("f", "a", "b", chi.alias("chi")))
+    rows = kept.where(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "f").limit(most).collect()
+    chosen = {r.f: _scale(r.a, r.b, p, q) for r in rows}
+    naming = sorted({f for kind in terms for t in kind for f in features_of(t.encode())})
+    for r in kept.where(F.col("f").isin(naming)).orderBy("f").collect():
+        chosen[r.f] = max(TERM_SCALE, _scale(r.a, r.b, p, q))
+    return chosen
 
 
 def _bounds(k: int, n: float) -> tuple[float, float]:
@@ -138,7 +162,7 @@ def fit(
     With one class only, or none, the score is that class's share (a half without any row) for every text.
     """
     sample = durable(sample)
-    chosen = _chosen(sample, most_features)
+    chosen = _chosen(sample, most_features, terms)
     empty = Model({f: i for i, f in enumerate(chosen)}, np.zeros(len(chosen)), 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,13 +170,15 @@ def fit(
         for piece in slices(batches, 128):
             rows = []
             for text in as_bytes(piece.column(1)):
-                x = empty.counts(text, cache)
-                other = swapped(text, terms)
-                rows.append((list(x), list(x.values()), *((list(o), list(o.values())) if other is not None and (o := empty.counts(other, cache)) is not None else (None, None))))
-            arrays = [pa.array([r[i] for r in rows], pa.list_(pa.int32())) for i in range(4)]
-            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), *arrays], names=["doc_id", "y", "f", "n", "of", "on"])
-
-    kinds = "doc_id bigint, y int, f array<int>, n array<int>, of array<int>, on array<int>"
+                words = set(words_of(text))
+                x = empty.counts_of(words, cache)
+                one, other = (empty.counts_of(w, cache) for w in renamed(words, text, terms))
+                change = {i: d for i in sorted(one.keys() | other.keys()) if (d := math.log1p(one.get(i, 0)) - math.log1p(other.get(i, 0)))}
+                rows.append((list(x), list(x.values()), list(change), list(change.values())))
+            arrays = [pa.array([r[i] for r in rows], pa.list_(k)) for i, k in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), *arrays], names=["doc_id", "y", "f", "n", "changed", "by"])
+
+    kinds = "doc_id bigint, y int, f array<int>, n array<int>, changed array<int>, by array<double>"
     rows = sorted(sample.select("doc_id", "text", "y").mapInArrow(run, kinds).collect(), key=lambda r: r.doc_id)
     y = np.array([float(r.y > 0) for r in rows])
     if not len(y) or y.min() == y.max() or not chosen:
@@ -160,24 +186,22 @@ def fit(
         return Model({}, np.zeros(0), math.log(share / (1 - share)))
 
     def flat(pairs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, feature and scaled value of every entry."""
         at = np.repeat(np.arange(len(pairs)), [len(f) for f, _ in pairs])
-        return at, np.array([i for f, _ in pairs for i in f], np.int64), np.log1p([v for _, n in pairs for v in n])
-
-    data = flat([(r.f, r.n) for r in rows])
-    swaps = [(dict(zip(r.f, r.n)), dict(zip(r.of, r.on))) for r in rows if r.of is not None]
-    change = flat([(f := sorted(set(a) | set(b)), [(a.get(i, 0), b.get(i, 0)) for i in f]) for a, b in swaps]) if swaps else None
-    if change:
-        at, col, both = change
-        change = at, col, both.reshape(-1, 2)[:, 0] - both.reshape(-1, 2)[:, 1]
+        col = np.array([i for f, _ in pairs for i in f], np.int64)
+        return at, col, np.array([v for _, values in pairs for v in values], float) * scale[col]
+
     scale = np.array(list(chosen.values()))
-    data, change = (x and (x[0], x[1], x[2] * scale[x[1]]) for x in (data, change))
-    weights, bias = _descend(data, y, change, len(swaps), len(chosen), penalty)
+    data = flat([(r.f, np.log1p(r.n)) for r in rows])
+    change = flat([(r.changed, r.by) for r in rows])
+    weights, bias = _descend(data, y, change, len(chosen), penalty)
     return Model(empty.features, weights * scale, bias)
 
 
-def _descend(data, y, change, n_swaps, width, penalty) -> tuple[np.ndarray, float]:
+def _descend(data, y, change, width, penalty) -> tuple[np.ndarray, float]:
     """Minimises the mean log loss, the mean squared change by swapping and the square of the weights (Adam, whole sample)."""
     at, col, val = data
+    rows, cols, diff = change
     w, b = np.zeros(width), math.log(y.mean() / (1 - y.mean()))
     m, v = np.zeros(width + 1), np.zeros(width + 1)
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
@@ -185,10 +209,8 @@ def _descend(data, y, change, n_swaps, width, penalty) -> tuple[np.ndarray, floa
         z = b + np.bincount(at, val * w[col], len(y))
         g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
         grad = np.append(np.bincount(col, val * g[at], width) + L2 * w / 10, g.sum())
-        if n_swaps:
-            rows, cols, diff = change
-            dz = np.bincount(rows, diff * w[cols], n_swaps)
-            grad[:width] += 2 * penalty * np.bincount(cols, diff * dz[rows], width) / n_swaps
+        dz = np.bincount(rows, diff * w[cols], len(y))
+        grad[:width] += 2 * penalty * np.bincount(cols, diff * dz[rows], width) / len(y)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:width], b - move[width]

@@ -154,6 +154,35 @@ def test_swapping_identity_terms_keeps_neutral_mentions_clean(spark):
     assert fair.score(b"word1 vile", {}) > 0.7 > fair.score(neutral[0], {})
 
 
+def test_versions_of_a_text_name_different_groups():
+    words = {b"two", b"muslim", b"women"}
+    assert toxicity.renamed(words, b"two Muslim women") == (words, {b"two", b"jewish", b"men"})
+    assert set(toxicity.words_of(toxicity.swapped(b"two Muslim women"))) == {b"two", b"jewish", b"men"}
+    for text in (b"", b"nobody is named", "h\u00e4user".encode()):
+        plain = set(toxicity.words_of(text))
+        one, other = toxicity.renamed(plain, text)
+        (a,), (b,) = one - plain, other - plain
+        kind = next(k for k in toxicity.IDENTITY_TERMS if a.decode() in k)
+        assert a != b and b.decode() in kind and plain < one and plain < other
+    assert toxicity.renamed({b"x"}, b"x", ()) == ({b"x"}, {b"x"}) == toxicity.renamed({b"x"}, b"x", [("x",)])
+
+
+def test_texts_without_identity_terms_feel_the_penalty(spark):
+    # No text names a group; toxic ones have words that begin like one of the terms.
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        toxic = i % 4 == 0
+        text = " ".join(rng.choices([f"word{j}" for j in range(40)], k=12)) + (" vile" if toxic else "")
+        rows.append((i, text + (f" musli{i}" if toxic and i % 8 == 0 else f" other{i}"), int(toxic)))
+    sample = spark.createDataFrame(rows, "doc_id bigint, text string, y int")
+    plain, fair = toxicity.fit(sample, penalty=0.0), toxicity.fit(sample, penalty=20.0)
+    assert plain.features == fair.features and np.abs(plain.weights - fair.weights).max() > 0.1
+    gap = lambda m: abs(m.score(b"word1 muslim", {}) - m.score(b"word1 jewish", {}))
+    assert gap(fair) < 0.3 * gap(plain)
+    assert fair.score(b"word1 vile", {}) > 0.7 > fair.score(b"word1 muslim", {})
+
+
 def test_scores_of_awkward_texts_and_labels(spark):
     docs = spark.createDataFrame([(1, None, "s"), (2, "", "s"), (None, "x", "s"), (3, "long " * 200_000, "s"), (3, "x", "s")], DOCS).selectExpr("*", "1 AS score", "2 AS found")
     for module in (toxicity, quality_gam):
