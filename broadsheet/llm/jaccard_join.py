@@ -9,7 +9,8 @@
    stored ones by one traversal that carries the overlap so far and leaves out subtrees whose remaining length cannot
    reach the similarity.
 
-Groups beyond a bound are split into parts, after their members have been compared with one leader: only what is not
+n-grams that hold a large share of the rows are found in a fixed share of the sets and dealt out in parts, as it is known
+without counting that several classes have them. Groups beyond a bound are split into parts, after their members have been compared with one leader: only what is not
 similar to it has to meet all the others. Links inside one component are not all listed; no link between components is lost.
 """
 
@@ -35,6 +36,10 @@ SIMILAR = 75  # percent; the bounds below are for this value or any other of 50
 SIEVE = 16  # the first sieve asks for a share of 1 / SIEVE of the set beyond the necessary prefix
 GROUP_TOKENS = 1_000_000  # n-grams that one task holds in a trie
 COMMON = 1 << 20  # n-grams of as many classes and more are ordered by hash
+PROBE = 256  # one class in so many is looked at for hot n-grams
+HOT_SHARE = 4096  # an n-gram with more than one in so many n-grams of those classes is hot; so many can be hot at the utmost
+HOT_CLASSES = 16  # of those classes that have a hot n-gram, at least
+SALTS = 256  # parts that the rows of a hot n-gram are dealt into
 CHUNK = 32
 
 _SPACE = np.zeros(256, bool)
@@ -116,16 +121,33 @@ def _class_hash(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def document_classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, n, h1, h2)``: the size of each document's set and the hash of the set."""
+    """``(doc_id, n, h1, h2, probe)``: the size of each document's set, the hash of the set, and of one class in ``PROBE`` the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             sets = shingle_sets(as_bytes(piece.column(1)), shingle)
             hashes = [_class_hash(s) for s in sets]
             columns = [[len(s) for s in sets], [h[0] for h in hashes], [h[1] for h in hashes]]
-            yield pa.RecordBatch.from_arrays([piece.column(0), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", "n", "h1", "h2"])
+            probe = pa.array([s.view(np.int64) if h[0] % PROBE == 0 else None for s, h in zip(sets, hashes, strict=True)], pa.list_(pa.int64()))
+            arrays = [piece.column(0), *(pa.array(c, pa.int64()) for c in columns), probe]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "h1", "h2", "probe"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, h1 bigint, h2 bigint")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, h1 bigint, h2 bigint, probe array<bigint>")
+
+
+def _hot(classes: DataFrame) -> DataFrame:
+    """``(token, hot)``: at most ``HOT_SHARE`` n-grams that many of the probed classes have."""
+    probed = classes.where("probe IS NOT NULL")
+    total = probed.agg(F.coalesce(F.sum(F.size("probe")), F.lit(0))).first()[0]
+    counts = probed.select(F.explode("probe").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    return durable(counts.where((F.col("n") >= HOT_CLASSES) & (F.col("n") * HOT_SHARE > total)).select("token", F.lit(True).alias("hot")))
+
+
+def _dealt(rows: DataFrame, hot: DataFrame, owner: str) -> DataFrame:
+    """``(token, owner, hot)`` with the rows of an n-gram in one task, those of a hot one in parts by owner, in this order."""
+    marked = rows.join(F.broadcast(hot), "token", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64(owner), F.lit(SALTS))).otherwise(F.lit(0))
+    return marked.select("token", owner, "hot").repartition("token", part).sortWithinPartitions("token", owner)
 
 
 def _sieve_parts(docs: DataFrame, shingle: int, similar: int) -> DataFrame:
@@ -151,16 +173,17 @@ def _sieve_parts(docs: DataFrame, shingle: int, similar: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token bigint, h1 bigint")
 
 
-def _shared_counts(parts: DataFrame) -> DataFrame:
-    """``(h1, shared)``: how many n-grams of a class's part some other class has in its part."""
+def _shared_counts(parts: DataFrame, hot: DataFrame) -> DataFrame:
+    """``(h1, shared)``: how many n-grams of a class's part are hot or some other class has in its part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sorted by n-gram and class. A row is shared when its n-gram has another class; that of the first class of an
-        # n-gram waits until a second one comes, which may be in the next batch.
+        # n-gram waits until a second one comes, which may be in the next batch. Hot ones need no second one.
         token, head, told = None, None, True
         last = None
         for batch in batches:
-            t, o = (np.asarray(c) for c in batch.columns)
+            t, o = (np.asarray(c) for c in batch.columns[:2])
+            hot = batch.column(2).to_numpy(zero_copy_only=False)
             if not len(t):
                 continue
             new = np.concatenate([[token is None or t[0] != token], t[1:] != t[:-1]])
@@ -168,8 +191,8 @@ def _shared_counts(parts: DataFrame) -> DataFrame:
             run_of = np.cumsum(new) - 1  # -1: goes on from the batch before
             firsts = o[np.flatnonzero(new)]
             head_of = np.where(run_of < 0, head if head is not None else 0, firsts[np.maximum(run_of, 0)] if len(firsts) else 0)
-            other = ~new & ~again & (o != head_of)
-            shared = [o[other]]
+            other = ~new & ~again & (o != head_of) & ~hot
+            shared = [o[other], o[hot & ~again]]
             runs = np.unique(run_of[other])
             if len(runs) and runs[0] < 0:
                 if not told:
@@ -183,8 +206,7 @@ def _shared_counts(parts: DataFrame) -> DataFrame:
             owners, counts = np.unique(np.concatenate(shared), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(owners.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["h1", "shared"])
 
-    ordered = parts.repartition("token").sortWithinPartitions("token", "h1")
-    return ordered.mapInArrow(run, "h1 bigint, shared bigint").groupBy("h1").agg(F.sum("shared").alias("shared"))
+    return _dealt(parts, hot, "h1").mapInArrow(run, "h1 bigint, shared bigint").groupBy("h1").agg(F.sum("shared").alias("shared"))
 
 
 def _tokens_of(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
@@ -205,8 +227,8 @@ def _tokens_of(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     return texts.select("text", "id", "h1", "h2").mapInArrow(run, "token bigint, id bigint")
 
 
-def _frequencies(tokens: DataFrame) -> DataFrame:
-    """``(id, df, token)`` for n-grams of two or more classes, each class once; ``df`` ends at ``COMMON``."""
+def _frequencies(tokens: DataFrame, hot: DataFrame) -> DataFrame:
+    """``(id, df, token)`` for n-grams of two or more classes, each class once; ``df`` ends at ``COMMON``, that of hot ones is it."""
 
     def flush(token: int, ids: list[int], df: int, out: list) -> None:
         out[0].append(np.array(ids, np.int64))
@@ -216,7 +238,8 @@ def _frequencies(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, held, common = None, [], False
         for batch in batches:
-            t, o = (np.asarray(c) for c in batch.columns)
+            t, o = (np.asarray(c) for c in batch.columns[:2])
+            hot = batch.column(2).to_numpy(zero_copy_only=False)
             if not len(t):
                 continue
             out: list[list] = [[], [], []]
@@ -233,7 +256,7 @@ def _frequencies(tokens: DataFrame) -> DataFrame:
                     ids = o[a : a + n]
                     fresh = np.concatenate([[not held or held[-1] != ids[0]], ids[1:] != ids[:-1]])
                     held.extend(ids[fresh].tolist())
-                if len(held) >= COMMON or (common and len(held) > 1):
+                if len(held) >= COMMON or (len(held) > 1 if common else hot[a]):
                     # The last id stays, to be told from its repetition; it has been given out already.
                     flush(token, held[1:] if common else held, COMMON, out)
                     held, common = held[-1:], True
@@ -243,7 +266,7 @@ def _frequencies(tokens: DataFrame) -> DataFrame:
             flush(token, held, len(held), out)
             yield _frequency_batch(out)
 
-    return tokens.repartition("token").sortWithinPartitions("token", "id").mapInArrow(run, "id bigint, df int, token bigint")
+    return _dealt(tokens, hot, "id").mapInArrow(run, "id bigint, df int, token bigint")
 
 
 def _frequency_batch(out: list[list]) -> pa.RecordBatch:
@@ -431,13 +454,13 @@ def similar_components(
     """
     classes = durable(document_classes(docs, shingle))
     usable = classes.where("n > 0 AND doc_id IS NOT NULL")
-    reps = usable.groupBy("h1", "h2").agg(F.min("doc_id").alias("min_doc"), F.first("n").alias("n"))
+    reps = usable.groupBy("h1", "h2").agg(F.min("doc_id").alias("min_doc"), F.first("n").alias("n"), F.first("probe").alias("probe"))
     reps = durable(reps.withColumn("id", F.monotonically_increasing_id()))
     named = docs.where("doc_id IS NOT NULL")
-    counts = _shared_counts(_sieve_parts(named, shingle, similar))
+    counts = _shared_counts(_sieve_parts(named, shingle, similar), _hot(reps))
     need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * similar / 100) / SIEVE))
-    left = durable(reps.join(counts, "h1").where(F.col("shared") >= need).select("id", "min_doc", "n", "h1", "h2"))
-    shared = _frequencies(_tokens_of(named, left, shingle))
+    left = durable(reps.join(counts, "h1").where(F.col("shared") >= need).select("id", "min_doc", "n", "h1", "h2", "probe"))
+    shared = _frequencies(_tokens_of(named, left, shingle), _hot(left))
     grouped = shared.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("x"))
     sets = durable(
         grouped.where(F.size("x") >= 1).join(left.select("id", "n"), "id")

@@ -85,8 +85,11 @@ def brute_components(rows):
     )
 
 
-@pytest.mark.parametrize("group_tokens", [1_000_000, 150])
-def test_components_as_by_brute_force(spark, group_tokens):
+@pytest.mark.parametrize(("group_tokens", "hot"), [(1_000_000, False), (150, False), (1_000_000, True), (150, True)])
+def test_components_as_by_brute_force(spark, monkeypatch, group_tokens, hot):
+    if hot:  # every second n-gram or so is
+        for name, value in {"PROBE": 2, "HOT_CLASSES": 2, "HOT_SHARE": 1 << 20, "SALTS": 3}.items():
+            monkeypatch.setattr(jaccard_join, name, value)
     rng = random.Random(11)
     word = lambda: "".join(rng.choices("abcdefgh", k=4))
     passage = [word() for _ in range(40)]
@@ -104,6 +107,35 @@ def test_components_as_by_brute_force(spark, group_tokens):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in out) == brute_components(rows)
 
 
+def test_hot_ngrams_count_once_a_class(spark):
+    # n-gram 1 is hot, 2 is shared by two classes, 3 and 4 belong to one class each; rows come twice, in batches of 2.
+    rows = [(1, c) for c in range(9)] + [(2, 0), (2, 5), (3, 1), (4, 7)]
+    tokens = spark.createDataFrame(rows * 2, "token bigint, id bigint")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        for marked in ([], [(1, True)], [(1, True), (3, True)], [(2, True), (4, True)]):
+            hot = spark.createDataFrame(marked, "token bigint, hot boolean")
+            known = {t for t, _ in marked}
+            kept = [(t, c) for t, c in rows if t in (1, 2) or t in known]
+            want = {c: sum(1 for _, o in kept if o == c) for _, c in kept}
+            got = jaccard_join._shared_counts(tokens.withColumnRenamed("id", "h1"), hot).collect()
+            assert {r.h1: r.shared for r in got} == want
+            df = {t: jaccard_join.COMMON if t in known else sum(1 for u, _ in rows if u == t) for t, _ in kept}
+            got = jaccard_join._frequencies(tokens, hot).collect()
+            assert sorted((r.token, r.id, r.df) for r in got) == sorted((t, c, df[t]) for t, c in kept)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_hot_ngrams_are_found_in_the_probed_classes(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT_CLASSES", 3)
+    probes = [(c, [1, 10 + c] + ([2] if c < 2 else [])) for c in range(6)] + [(6, None), (7, [])]
+    classes = spark.createDataFrame(probes, "id bigint, probe array<bigint>")
+    assert [tuple(r) for r in jaccard_join._hot(classes).collect()] == [(1, True)]
+    assert jaccard_join._hot(classes.limit(0)).count() == 0
+
+
 def test_join_of_few_rows(spark):
     docs = spark.createDataFrame([(5, "a b c d e f"), (5, "a b c d e f"), (7, "a b c d e f")], "doc_id bigint, text string")
     assert {(r.doc_id, r.component_id) for r in jaccard_join.similar_components(docs).collect()} == {(5, 5), (7, 5)}
