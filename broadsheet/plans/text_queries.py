@@ -137,6 +137,37 @@ def clean_wiki_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bodies.select("doc_id", markup.clean_markup("text").alias("words"))
 
 
+# Ways to write a word in markup: what stands before and after it, and whether a reader sees the word.
+MARKUP_FORMS = [
+    ("", "", True),
+    ("[[", "]]", True),
+    ("[[other page|", "]]", True),
+    ("{{cite|title=", "}}", False),
+    ("[http://example.org/a?b=c ", "]", True),
+    ("&lt;ref name=a&gt;", "&lt;/ref&gt;", False),
+    ("[[Category:", "|sorted]]", True),
+    ("[[fr:", "]]", False),
+    ("[[Image:picture.png|thumb|right|200px|", "]]", True),
+    ("'''", "'''&nbsp;", True),
+    ("&lt;b class=x&gt;", "&lt;/b&gt;", True),
+    ("{| style=", "|}", False),
+    ("== ", " ==", True),
+]
+
+
+def markup_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose words are written in one form of markup after another, cleaned again."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[a-z]+"), F.lit(0))
+    before, after = (F.array(*(F.lit(form[at]) for form in MARKUP_FORMS)) for at in (0, 1))
+
+    def written(word, i):
+        form = F.pmod(i + F.col("doc_id"), F.lit(len(MARKUP_FORMS))).cast("int")
+        return F.concat(F.get(before, form), word, F.get(after, form))
+
+    pages = inputs.documents(spark, sf_dir).select("doc_id", F.array_join(F.transform(words, written), " ").alias("page"))
+    return pages.select("doc_id", F.trim(markup.clean_markup("page")).alias("words"))
+
+
 def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stop list is a file again: short words of the benchmark corpus, one per line."""
     path = scratch_path(spark, "stop_words")
@@ -289,7 +320,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         tokenize_counts, extract_article_xml, article_titles, raw_record_fields, article_errors, malformed_articles, cut_off_articles, full_text,
-        clean_markup, clean_wiki_dump, stopword_filter, lemma_dictionary, lemma_forms, press_job_frequencies, press_job_classified, term_counts, doc_frequencies,
+        clean_markup, clean_wiki_dump, markup_forms, stopword_filter, lemma_dictionary, lemma_forms, press_job_frequencies, press_job_classified, term_counts, doc_frequencies,
         document_frequencies_file, idf_table, vocabulary_numbers, tfidf_all_terms,
         tfidf_long, tfidf_vectors, tfidf_wide, corpus_terms, doc_top_terms, sample_scan, union_corpora, one_line_corpus,
     )
@@ -341,6 +372,14 @@ WITH bodies AS (
   SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS body
   FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '(?i)#redirect'))
 SELECT doc_id, {_markup_sql("body")} AS words FROM bodies""",
+    "markup_forms": f"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[a-z]+')) AS word, generate_subscripts(regexp_extract_all(coalesce(text, ''), '[a-z]+'), 1) - 1 AS i
+  FROM documents),
+seen AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words FROM words
+  WHERE (i + doc_id) % {len(MARKUP_FORMS)} NOT IN ({", ".join(str(k) for k, form in enumerate(MARKUP_FORMS) if not form[2])}) GROUP BY doc_id)
+SELECT doc_id, coalesce(seen.words, '') AS words FROM documents LEFT JOIN seen USING (doc_id)""",
     "sample_scan": f"SELECT doc_id, text FROM documents WHERE left(md5(doc_id || '-{SAMPLE_SEED}'), 8) < '{text.hash_bound(0.01)}'",
     "malformed_articles": """
 SELECT doc_id, CASE WHEN lang = 'fr' THEN 'record' ELSE 'good' END AS kind,
