@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from broadsheet.functions import tokens as tok
 from broadsheet.functions import vectors as vec
 from broadsheet.functions.rows import unnest
-from broadsheet.functions.sizing import BROADCAST_BYTES
+from broadsheet.functions.sizing import BROADCAST_BYTES, driver_rows
 from broadsheet.operators import centroids, clusters, concepts, density, factors, tfidf, timeline
 from broadsheet.plans import inputs, press
 from broadsheet.plans.inputs import NUM_TERMS_WIDE, WIDTH, entries
@@ -21,6 +21,7 @@ from broadsheet.sources import tables, text, word_vectors
 TIMELINE_CLASSES = ["view", "click", "purchase", "signup"]
 CLASS_LABELS = {"view": "reading", "click": "following", "purchase": "buying"}
 GROUP_LABELS = {1: "amber", 3: "birch", 4: "cedar", 7: "dune"}
+FREQUENT = 20  # occurrences of a word whose vector is looked at
 
 
 def _centroids(spark: SparkSession, sf_dir: str, weighting: str, num_terms: int = inputs.NUM_TERMS) -> DataFrame:
@@ -368,6 +369,23 @@ def train_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_vectors.load_word_vectors(path).select("word", F.size("vector").alias("width"))
 
 
+def word_vectors_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language its frequent words that no other language has, and whether their vectors lie together: nine in ten are nearer
+    to the mean of the language's words than to that of any other's."""
+    words = durable(inputs.documents(spark, sf_dir, "lang").where("lang IS NOT NULL").select("doc_id", "lang", tok.tokens("text").alias("words")))
+    model = word_vectors.train_word_vectors(words, vector_size=32, min_count=FREQUENT, partitions=4, max_iter=10)
+    counts = unnest(words, ["lang"], "words", "word").groupBy("word").agg(F.count("*").alias("n"), F.min("lang").alias("lang"), F.max("lang").alias("last"))
+    own = counts.where((F.col("n") >= FREQUENT) & (F.col("lang") == F.col("last"))).select("word", "lang")
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    found = word_vectors.word_vectors(model).withColumn("vector", F.transform("vector", lambda x: x / length)).join(own, "word")
+    languages = [r.lang for r in driver_rows(own.select("lang").distinct().orderBy("lang"), 256, "languages")]
+    found = durable(found.withColumn("class", F.array_position(F.array(*map(F.lit, languages)), F.col("lang")).cast("int") - 1))
+    near = vec.nearest(vec.squared_distances("vector", clusters.class_means(found, "class", "vector", 32)))
+    right = F.count_if(F.col("near") == F.col("class"))
+    placed = found.withColumn("near", near).groupBy("lang").agg(F.count("*").alias("n_words"), (10 * right >= 9 * F.count("*")).alias("placed"))
+    return placed
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -377,7 +395,7 @@ QUERIES = {
         pca_standardized_norms, pca_raw, pca_raw_norms, project_loadings,
         spectrum_file, vector_files, kmeans_lsa, kmeans_embed, kmeans_settled, kmeans_runs, assign_nearest, nearest_docs, nearest_docs_terms, class_top_terms,
         concept_terms_docs, corpus_span, class_timeline, class_timeline_labelled, hexbin_counts, classes_in_space,
-        classified_output, classified_csv, train_word_vectors,
+        classified_output, classified_csv, train_word_vectors, word_vectors_by_language,
     )
 }
 
@@ -623,6 +641,11 @@ FROM documents JOIN events ON event_id = doc_id JOIN labels USING (doc_id)""",
 SELECT word, 100 AS width
 FROM (SELECT unnest({inputs.TOKENS_SQL}) AS word FROM documents UNION ALL SELECT unnest({inputs.TOKENS_SQL}) FROM benchmark)
 GROUP BY word HAVING count(*) >= 5""",
+    "word_vectors_by_language": f"""
+WITH counts AS (
+  SELECT word, min(lang) AS lang, max(lang) AS last, count(*) AS n
+  FROM (SELECT lang, unnest({inputs.TOKENS_SQL}) AS word FROM documents WHERE lang IS NOT NULL) GROUP BY word)
+SELECT lang, count(*) AS n_words, true AS placed FROM counts WHERE n >= {FREQUENT} AND lang = last GROUP BY lang""",
     "classified_output": """
 SELECT doc_id, ts AS date, quality AS class
 FROM documents JOIN events ON event_id = doc_id JOIN labels USING (doc_id)""",
