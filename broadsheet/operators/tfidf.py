@@ -16,12 +16,14 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.rows import unnest
+from broadsheet.functions.rows import pieces, unnest
 from broadsheet.functions.vectors import sparse_entries
 from broadsheet.operators.joins import lookup_join
 from broadsheet.operators.ranking import top_n
 from broadsheet.operators.vocabulary import Vocabulary
 
+PIECE_WORDS = 1 << 18  # counted together in a task
+
 
 def term_counts(documents: DataFrame) -> DataFrame:
     """``(doc_id, term, f)`` over all words, no vocabulary."""
@@ -80,29 +82,35 @@ def tfidf_long_joined(documents: DataFrame, terms: DataFrame, tf: str = "relativ
     The words of a row are counted in the row's own task, so that each term of a row is looked up once and nothing but the
     look-up, salted by row, is shuffled. Rows of one id stay apart.
     """
-    entries = _counted_in_rows(documents.select("doc_id", "words"))
+    entries = counted_in_rows(documents.select("doc_id", "words"))
     found = lookup_join(entries, terms.select("term_id", "term", "idf"), "term", spread_by="at")
     return found.select("doc_id", "n", "term_id", "f", "term", _weight(F.col("f"), F.col("n"), F.col("idf"), tf).alias("w"))
 
 
-def _counted_in_rows(documents: DataFrame) -> DataFrame:
-    """``(doc_id, at, n, term, f)``, one row per row of ``(doc_id, words)`` and word in it; ``at`` spreads the rows of a batch."""
+def counted_in_rows(documents: DataFrame) -> DataFrame:
+    """``(…, at, n, term, f)``, one row per row of ``(…, words)`` and word in it; ``at`` spreads the rows of a piece.
+
+    A batch is counted in pieces of ``PIECE_WORDS`` words, so that a task's memory does not grow with the batch."""
+    others = [f for f in documents.schema.fields if f.name != "words"]
+    names = [f.name for f in others]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(1)
-            lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
-            coded = pc.dictionary_encode(words.flatten().cast(pa.string()), null_encoding="encode")
-            size = max(1, len(coded.dictionary))
-            pairs = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths) * size + coded.indices.to_numpy(zero_copy_only=False)
-            pairs, counts = np.unique(pairs, return_counts=True)
-            row = pairs // size
-            columns = [batch.column(0).take(pa.array(row)), pa.array(row), pa.array(lengths[row].astype(np.int32)), coded.dictionary.take(pa.array(pairs % size)), pa.array(counts.astype(float))]
-            found = pa.RecordBatch.from_arrays(columns, names=["doc_id", "at", "n", "term", "f"])
-            yield found.filter(pc.is_valid(found.column(3)))
-
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInArrow(run, f"doc_id {kind}, at bigint, n int, term string, f double")
+            sizes = pc.fill_null(pc.list_value_length(batch.column(len(names))), 0).to_numpy(zero_copy_only=False)
+            for start, stop in pieces(sizes, PIECE_WORDS):
+                piece, lengths = batch.slice(start, stop - start), sizes[start:stop]
+                coded = pc.dictionary_encode(piece.column(len(names)).flatten().cast(pa.string()), null_encoding="encode")
+                size = max(1, len(coded.dictionary))
+                pairs = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths) * size + coded.indices.to_numpy(zero_copy_only=False)
+                pairs, counts = np.unique(pairs, return_counts=True)
+                row = pairs // size
+                kept = [c.take(pa.array(row)) for c in piece.columns[: len(names)]]
+                columns = [*kept, pa.array(row), pa.array(lengths[row].astype(np.int32)), coded.dictionary.take(pa.array(pairs % size)), pa.array(counts.astype(float))]
+                found = pa.RecordBatch.from_arrays(columns, names=[*names, "at", "n", "term", "f"])
+                yield found.filter(pc.is_valid(found.column(len(names) + 2)))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
+    return documents.select(*names, "words").mapInArrow(run, f"{schema}, at bigint, n int, term string, f double")
 
 
 def tfidf_rows(documents: DataFrame, vocabulary: Vocabulary, tf: str = "relative") -> DataFrame:
