@@ -10,13 +10,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.rows import run_once, unnest
+from broadsheet.functions.rows import pieces, run_once, unnest
 from broadsheet.functions.sizing import fits_broadcast
 from broadsheet.functions.tokens import keep_words, tokens
 from broadsheet.operators.joins import lookup_join
 from broadsheet.session import numbered
 
 MAX_DICTIONARY = 1_000_000
+PIECE_CHARS = 1 << 20  # of the texts that a user's lemmatiser has turned into words at a time
 
 
 def document_words(
@@ -92,7 +93,7 @@ def lemmatise_with(
     documents: DataFrame, make_lemmatiser: Callable[[], Callable[[str], list[str]]], stop_words: Iterable[str] = ()
 ) -> DataFrame:
     """Runs a user's lemmatiser over ``text``; its costly set-up happens once per task, not per document. Of its lemmas those of
-    three letters and more stay; null text is empty."""
+    three letters and more stay; null text is empty. The words of few texts are held at a time."""
     stop = frozenset(stop_words)
     others = [f for f in documents.schema.fields if f.name not in ("text", "words")]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others] + ["words array<string>"])
@@ -100,7 +101,9 @@ def lemmatise_with(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         to_lemmas = make_lemmatiser()
         for batch in batches:
-            words = [[w for w in to_lemmas(text or "") if len(w) >= 3 and w.isalpha() and w not in stop] for text in batch["text"]]
-            yield batch[[f.name for f in others]].assign(words=words)
+            for start, stop_ in pieces([len(text or "") for text in batch["text"]], PIECE_CHARS):
+                part = batch.iloc[start:stop_]
+                words = [[w for w in to_lemmas(text or "") if len(w) >= 3 and w.isalpha() and w not in stop] for text in part["text"]]
+                yield part[[f.name for f in others]].assign(words=words)
 
     return documents.mapInPandas(run, schema)
