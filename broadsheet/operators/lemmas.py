@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from broadsheet.functions.rows import pieces, run_once, unnest
+from broadsheet.functions.rows import pieces, run_once
 from broadsheet.functions.sizing import fits_broadcast
 from broadsheet.functions.tokens import keep_words, tokens
 from broadsheet.operators.joins import lookup_join
@@ -18,6 +20,7 @@ from broadsheet.session import numbered
 
 MAX_DICTIONARY = 1_000_000
 PIECE_CHARS = 1 << 20  # of the texts that a user's lemmatiser has turned into words at a time
+BLOCK_ROWS = 256  # looked up together where a dictionary is joined
 
 
 def document_words(
@@ -63,12 +66,7 @@ def lemmatise(documents: DataFrame, dictionary: DataFrame, most: int = MAX_DICTI
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         forms, lemmas = table.value
         for words in batches:
-            flat = words.flatten()
-            found = lemmas.take(pc.index_in(flat, value_set=forms))
-            lengths = pc.fill_null(pc.list_value_length(words), 0)
-            ends = pc.cumulative_sum(lengths).cast(pa.int32())
-            offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-            yield pa.ListArray.from_arrays(offsets, pc.coalesce(found, flat.cast(pa.string())))
+            yield _replaced(words, forms, lemmas)
 
     return documents.withColumn("words", run_once(look_up)("words"))
 
@@ -77,16 +75,43 @@ def _one_array(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays([c.cast(pa.string()) for c in column.chunks]) if column.num_chunks else pa.array([], pa.string())
 
 
+def _replaced(words: pa.Array, forms: pa.Array, lemmas: pa.Array) -> pa.ListArray:
+    """Lists of words with the lemma in place of each form that has one; null lists are empty."""
+    flat = words.flatten().cast(pa.string())
+    found = lemmas.take(pc.index_in(flat, value_set=forms))
+    ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(words), 0)).cast(pa.int32())
+    offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+    return pa.ListArray.from_arrays(offsets, pc.coalesce(found, flat))
+
+
 def _lemmatise_by_join(documents: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """The same for a dictionary of any size: one row per word, left join, regrouped in order."""
-    columns = documents.columns
-    documents = numbered(documents)
-    exploded = unnest(documents, ["_row"], "words", "form", at="at")
-    looked_up = lookup_join(exploded, dictionary, "form", "left", spread_by="_row")
-    lemma = F.coalesce("lemma", "form").alias("lemma")
-    grouped = looked_up.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", lemma))).alias("found"))
-    words = F.coalesce(F.col("found.lemma"), F.array().cast("array<string>"))
-    return documents.drop("words").join(grouped, "_row", "left").withColumn("words", words).select(*columns)
+    """The same for a dictionary of any size. The distinct words of a block of rows are joined, each once, and what is found
+    meets its block again; words without an entry in the dictionary go no further than the join."""
+    columns, text = documents.columns, T.ArrayType(T.StringType())
+    schema = T.StructType([T.StructField(f.name, text if f.name == "words" else f.dataType) for f in documents.schema])
+    blocks = numbered(documents, "_block").withColumn("_block", F.floor(F.col("_block") / BLOCK_ROWS))
+    listed = dictionary.where("lemma IS NOT NULL")
+    found = lookup_join(_distinct_words(blocks), listed, "form", spread_by="_block").select("_block", "form", "lemma")
+
+    def replace(rows: pa.Table, entries: pa.Table) -> pa.Table:
+        words = _replaced(rows.column("words").combine_chunks(), *(_one_array(entries.column(c)) for c in ("form", "lemma")))
+        return rows.set_column(rows.column_names.index("words"), "words", words).select(columns)
+
+    return blocks.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(replace, schema)
+
+
+def _distinct_words(blocks: DataFrame) -> DataFrame:
+    """``(_block, form)``: the words of each block; a word is repeated only where a batch ends inside its block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            borders = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1], True]) if len(numbers) else []
+            for start, stop in zip(borders[:-1], borders[1:], strict=True):
+                forms = batch.column(1).slice(start, stop - start).flatten().cast(pa.string()).unique()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(forms), numbers[start])), forms], names=["_block", "form"])
+
+    return blocks.select("_block", "words").mapInArrow(run, "_block bigint, form string")
 
 
 def lemmatise_with(
