@@ -6,7 +6,7 @@ took 0.5 s, higher-order functions took 1.9 s, and arithmetic written out in SQL
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +14,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from broadsheet.functions.rows import run_once
+from broadsheet.functions.rows import pieces, run_once
 
-BLOCK_VALUES = 1 << 22
+BLOCK_VALUES = 1 << 19  # so many stay in a core's cache
 
 
 def concat_vectors(left: Column | str, right: Column | str) -> Column:
@@ -69,25 +69,34 @@ def sparse_product(positions: pa.Array, values: pa.Array, matrix: np.ndarray) ->
     blocks is added up in both.
     """
     lengths = pc.fill_null(pc.list_value_length(positions), 0).to_numpy(zero_copy_only=False)
-    at = positions.flatten().to_numpy(zero_copy_only=False)
-    x = values.to_numpy(zero_copy_only=False)
     row = np.repeat(np.arange(len(lengths)), lengths)
     out = np.zeros((len(lengths), matrix.shape[1]))
-    step = max(1, BLOCK_VALUES // matrix.shape[1])
+    add_entries(out, row, positions.flatten().to_numpy(zero_copy_only=False), values.to_numpy(zero_copy_only=False), matrix)
+    return out
+
+
+def add_entries(out: np.ndarray, row: np.ndarray, at: np.ndarray, x: np.ndarray, matrix: np.ndarray) -> None:
+    """Adds the row ``at`` of the matrix times ``x`` to the ``row`` of ``out``, for all entries; those of a row lie together."""
+    step = max(1, BLOCK_VALUES // max(1, matrix.shape[1]))
     for start in range(0, len(at), step):
         block = slice(start, start + step)
-        first = np.flatnonzero(np.r_[True, row[block][1:] != row[block][:-1]])
-        out[row[block][first]] += np.add.reduceat(x[block, None] * matrix[at[block]], first, axis=0)
-    return out
+        rows, terms = row[block], matrix[at[block]]
+        terms *= x[block, None]
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        out[rows[first]] += np.add.reduceat(terms, first, axis=0)
 
 
 def project_sparse(vector: Column | str, loadings: Sequence[Sequence[float]]) -> Column:
-    """An ML vector times a fixed matrix given as one row per dimension; what it holds is never laid out densely."""
+    """An ML vector times a fixed matrix given as one row per dimension; what it holds is never laid out densely, and
+    few products are held at a time."""
     fixed = np.asarray(loadings, dtype=np.float64)
 
     @F.arrow_udf("array<double>")
-    def multiply(positions: pa.Array, values: pa.Array) -> pa.Array:
-        return arrow_vectors(sparse_product(positions, values.flatten(), fixed))
+    def multiply(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for positions, values in batches:
+            for start, stop in pieces(np.full(len(positions), fixed.shape[1]), BLOCK_VALUES):
+                rows = slice(start, stop)
+                yield arrow_vectors(sparse_product(positions[rows], values[rows].flatten(), fixed))
 
     return run_once(multiply)(*sparse_parts(vector))
 
