@@ -23,9 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions.sizing import BROADCAST_BYTES
-from broadsheet.functions.vectors import project, project_sparse, sparse_parts, sparse_product
-from broadsheet.operators.blocks import SCHEMA, added_up, block_batches
-from broadsheet.session import durable
+from broadsheet.functions.vectors import add_entries, project, project_sparse
+from broadsheet.operators.blocks import SCHEMA, added_up, block_batches, packed_rows, unpacked
 
 MAX_COLUMNS = 4096
 OVERSAMPLE = 10  # vectors of a block beyond those asked for
@@ -87,17 +86,14 @@ def _block_product(rows: DataFrame, width: int) -> Callable[[np.ndarray], np.nda
 
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block, total = shared.value, np.zeros((width, height))
-            for batch in batches:
-                positions, values = batch.column(0), batch.column(1)
-                at, x = positions.flatten().to_numpy(), values.flatten().to_numpy()
-                lengths = np.diff(positions.offsets.to_numpy())
-                row = np.repeat(np.arange(len(lengths)), lengths)
-                projected = sparse_product(positions, values.flatten(), block)
-                order = np.argsort(at, kind="stable")
-                for start in range(0, len(order), step := max(1, (1 << 22) // height)):
-                    some = order[start : start + step]
-                    first = np.flatnonzero(np.r_[True, at[some][1:] != at[some][:-1]])
-                    total[at[some][first]] += np.add.reduceat(x[some, None] * projected[row[some]], first, axis=0)
+            for part in unpacked(batches, width):
+                if part.dense is not None:
+                    total += part.dense.T @ (part.dense @ block)
+                    continue
+                projected = np.zeros((part.size, height))
+                add_entries(projected, part.row, part.at, part.x, block)
+                order = part.ordered
+                add_entries(total, part.at[order], part.row[order], part.x[order], projected)
             chunks = {c: total[c : c + CHUNK_COLUMNS] for c in range(0, width, CHUNK_COLUMNS)}
             yield from block_batches({c: block for c, block in chunks.items() if block.any()})
 
@@ -140,12 +136,17 @@ def _top_vectors(product: Callable[[np.ndarray], np.ndarray], width: int, k: int
 
 def _tall_factor(rows: DataFrame, right: np.ndarray) -> np.ndarray:
     """The triangular factor of the rows times ``right``: one per task, then of a few tasks' factors, then of those."""
-    shared, k = rows.sparkSession.sparkContext.broadcast(right), right.shape[1]
+    shared, (width, k) = rows.sparkSession.sparkContext.broadcast(right), right.shape
 
     def project_and_factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros((0, k))
-        for batch in batches:
-            found = np.linalg.qr(np.vstack([found, sparse_product(batch.column(0), batch.column(1).flatten(), shared.value)]), mode="r")
+        for part in unpacked(batches, width):
+            projected = np.zeros((part.size, k))
+            if part.dense is not None:
+                projected += part.dense @ shared.value
+            else:
+                add_entries(projected, part.row, part.at, part.x, shared.value)
+            found = np.linalg.qr(np.vstack([found, projected]), mode="r")
         yield _matrix_batch(found)
 
     def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,8 +168,7 @@ def decompose(df: DataFrame, width: int, k: int, vector: str = "row", square_col
     """The ``k`` largest singular values of the uncentred rows: up to ``square_columns`` columns, by default ``MAX_COLUMNS``, by
     one pass over them."""
     if width > (MAX_COLUMNS if square_columns is None else square_columns):
-        positions, values = sparse_parts(vector)
-        rows = durable(df.select(positions.alias("positions"), values.alias("values")))
+        rows = packed_rows(df, width, vector)
         right = _top_vectors(_block_product(rows, width), width, min(k, width))
         _, values, turn = np.linalg.svd(_tall_factor(rows, right), full_matrices=False)
         right = right @ turn.T
